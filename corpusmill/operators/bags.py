@@ -16,8 +16,14 @@ def min_tokens(docs: DataFrame, tokens_col: str = "tokens", minimum: int = MIN_T
 
 
 def token_bag(docs: DataFrame, id_col: str = "id", tokens_col: str = "tokens") -> DataFrame:
-    """AGG1: (id, token, cnt).  Partial aggregation runs before the shuffle."""
-    return (docs.select(F.col(id_col).alias(id_col), F.explode(tokens_col).alias("token"))
+    """AGG1: (id, token, cnt).  Partial aggregation runs before the shuffle.
+
+    ``explode_outer`` + a null filter instead of ``explode``: the filter the
+    optimizer infers from ``explode`` would be pushed under an upstream
+    repartition and evaluate the tokeniser twice.
+    """
+    return (docs.select(F.col(id_col).alias(id_col), F.explode_outer(tokens_col).alias("token"))
+            .where(F.col("token").isNotNull())
             .groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("cnt")))
 
 

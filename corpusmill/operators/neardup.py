@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,14 +40,16 @@ def signatures(docs: DataFrame, id_col: str = "id", tokens_col: str = "tokens",
 
     Output: id, entries array<struct<tid bigint, cnt bigint>>, n, k.
     """
-    d = (docs.select(F.col(id_col).alias("id"), F.col(tokens_col).alias("tokens"))
-         .where(F.size("tokens") >= minimum))
-    bags = token_bag(d, "id", "tokens")
+    d = docs.select(F.col(id_col).alias("id"), F.col(tokens_col).alias("tokens"))
+    bags = token_bag(d, "id", "tokens").persist(StorageLevel.MEMORY_AND_DISK)
+    # the order may include short documents: any global order is valid
     order = token_order(bags)
-    return (bags.join(order.select("token", "tid"), "token")
-            .groupBy("id")
-            .agg(F.sort_array(F.collect_list(F.struct("tid", "cnt"))).alias("entries"),
-                 F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("k")))
+    sig = (bags.join(order.select("token", "tid"), "token")
+           .groupBy("id")
+           .agg(F.sort_array(F.collect_list(F.struct("tid", "cnt"))).alias("entries"),
+                F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("k")))
+    # PRJ6 on the aggregated total (equals size(tokens)); not pushed under the bag
+    return sig.where(F.col("n") >= minimum)
 
 
 def collapse_copies(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -58,7 +61,7 @@ def collapse_copies(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
     A copy group of any size is aggregated map-side first, then joined back
     on (hash, bag); AQE splits a skewed join partition.
     """
-    keyed = sig.withColumn("h", F.xxhash64("entries"))
+    keyed = sig.withColumn("h", F.xxhash64("entries")).persist(StorageLevel.MEMORY_AND_DISK)
     reps = (keyed.groupBy("h", "entries")
             .agg(F.min("id").alias("rep"), F.first("n").alias("n"),
                  F.first("k").alias("k"), F.count(F.lit(1)).alias("copies")))
@@ -66,6 +69,8 @@ def collapse_copies(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = (keyed.select("id", "h", "entries")
                .join(reps.select("h", "entries", "rep"), ["h", "entries"])
                .select("id", "rep"))
+    members = reliable_checkpoint(members)
+    keyed.unpersist()
     return reps.drop("h"), members
 
 
@@ -136,26 +141,34 @@ def candidate_pairs(reps: DataFrame, key_threshold: float, threshold: float) ->
 
 def verify_pairs(cands: DataFrame, reps: DataFrame, key_threshold: float,
                  threshold: float) -> DataFrame:
-    """Exact similarities for candidate pairs; keep those passing both thresholds."""
-    r = reps.select("rep", "entries", "n", "k")
-    a = r.select(F.col("rep").alias("x"), F.col("entries").alias("ea"), F.col("n").alias("na"), F.col("k").alias("ka"))
-    b = r.select(F.col("rep").alias("y"), F.col("entries").alias("eb"), F.col("n").alias("nb"), F.col("k").alias("kb"))
-    j = cands.join(a, "x").join(b, "y")
-    key_overlap = F.size(F.array_intersect(F.col("ea.tid"), F.col("eb.tid")))
-    j = j.withColumn("ko", key_overlap)
-    key_sim = F.col("ko") / (F.col("ka") + F.col("kb") - F.col("ko"))
-    j = j.where(key_sim >= F.lit(key_threshold))
-    ma = F.map_from_entries("ea")
-    mb = F.map_from_entries("eb")
+    """Exact similarities for candidate pairs; keep those passing both thresholds.
+
+    Two phases keep the shuffled payload small: the set overlap ships only
+    the sorted key-id arrays (8 bytes per distinct token); the bag merge for
+    the multiset overlap ships whole bags for the survivors of phase one.
+    """
+    keys = reps.select("rep", F.col("entries.tid").alias("keys"), "k")
+    a = keys.select(F.col("rep").alias("x"), F.col("keys").alias("xa"), F.col("k").alias("ka"))
+    b = keys.select(F.col("rep").alias("y"), F.col("keys").alias("yb"), F.col("k").alias("kb"))
+    ko = F.size(F.array_intersect("xa", "yb"))
+    phase1 = (cands.join(a, "x").join(b, "y")
+              .select("x", "y", "ka", "kb", ko.alias("ko")))
+    union = F.col("ka") + F.col("kb") - F.col("ko")
+    key_sim = F.when(union == 0, F.lit(0.0)).otherwise(F.col("ko") / union)
+    survivors = phase1.withColumn("key_jaccard", key_sim).where(F.col("key_jaccard") >= F.lit(key_threshold))
+
+    bags = reps.select("rep", "entries", "n")
+    ea = bags.select(F.col("rep").alias("x"), F.col("entries").alias("ea"), F.col("n").alias("na"))
+    eb = bags.select(F.col("rep").alias("y"), F.col("entries").alias("eb"), F.col("n").alias("nb"))
     ms = F.aggregate(
-        F.map_values(F.map_zip_with(ma, mb, lambda _k, v1, v2: F.least(
-            F.coalesce(v1, F.lit(0)), F.coalesce(v2, F.lit(0))))),
+        F.map_values(F.map_zip_with(F.map_from_entries("ea"), F.map_from_entries("eb"),
+                                    lambda _k, v1, v2: F.least(F.coalesce(v1, F.lit(0)),
+                                                               F.coalesce(v2, F.lit(0))))),
         F.lit(0).cast("long"), lambda acc, v: acc + v)
-    j = j.withColumn("mo", ms)
+    j = survivors.join(ea, "x").join(eb, "y").withColumn("mo", ms)
     denom = F.col("na") + F.col("nb") - F.col("mo")
     sim = F.when(denom == 0, F.lit(0.0)).otherwise(F.col("mo") / denom)
-    key_sim = F.when(F.col("ka") + F.col("kb") - F.col("ko") == 0, F.lit(0.0)).otherwise(key_sim)
-    return (j.withColumn("jaccard", sim).withColumn("key_jaccard", key_sim)
+    return (j.withColumn("jaccard", sim)
             .where(F.col("jaccard") >= F.lit(threshold))
             .select(F.least("x", "y").alias("id1"), F.greatest("x", "y").alias("id2"),
                     "jaccard", "key_jaccard"))

@@ -24,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that arrived in fewer splits than the cluster has
+    cores (a single-row-group file); a large input keeps its scan splits."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want, key)
+    return df
+
+
 def file_name(doc_id, source):
     return F.concat(F.lit("own"), F.pmod(doc_id, F.lit(7)).cast("string"), F.lit("_"), source,
                     F.lit("-"), doc_id.cast("string"), F.lit(".py"))
@@ -31,7 +40,7 @@ def file_name(doc_id, source):
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code files: (doc_id, filename, content, project, lang)."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     return d.select("doc_id", file_name(F.col("doc_id"), F.col("source")).alias("filename"),
                     F.col("text").alias("content"), F.col("source").alias("project"), "lang")
 
