@@ -419,3 +419,106 @@ def q_running_totals(spark, sf):
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
+
+
+# --- sink -> source round trips (written under the session's checkpoint folder) ---
+
+def _io_dir(spark, name):
+    import uuid
+
+    from corpusmill.session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/corpusmill-io/{name}-{uuid.uuid4().hex}"
+
+
+def q_token_docs_roundtrip(spark, sf):
+    """SNK1 -> SRC2/PRJ2/PRJ3: gzip JSONL batches, two id fields."""
+    from corpusmill.sources import readers as R
+    from corpusmill.sources import sinks as W
+    f = S.files(spark, sf)
+    docs = TOK.tokenize_regex(f).select("filename", "project", "tokens")
+    out = _io_dir(spark, "tokens")
+    W.write_token_docs(docs, out, 4, id_cols=["project"])
+    back = R.read_token_docs(spark, directory=out, id_fields=["filename", "project"])
+    return back.select("id", F.size("tokens").alias("n_tokens"))
+
+
+def q_stream_token_index(spark, sf):
+    """Structured Streaming ingestion of token batches into the bag index."""
+    from corpusmill.sources import sinks as W
+    from corpusmill.streaming.token_stream import start_index, token_doc_stream
+    f = S.files(spark, sf)
+    docs = TOK.tokenize_regex(f).select("filename", "tokens")
+    src = _io_dir(spark, "stream-src")
+    W.write_token_docs(docs, src, 4)
+    out = _io_dir(spark, "stream-out")
+    q = start_index(token_doc_stream(spark, src), out, out + "-checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(out).select(F.col("id").alias("filename"), "n", "k")
+
+
+def q_split_roundtrip(spark, sf):
+    """SNK4 -> SRC4: one CSV folder per set with the reference header."""
+    from corpusmill.sources import readers as R
+    from corpusmill.sources import sinks as W
+    out = _io_dir(spark, "sets")
+    W.write_splits(_splits(spark, sf), out)
+    parts = [R.read_split(spark, f"{out}/set={s}").withColumn("set", F.lit(s)) for s in SP.SET_NAMES]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.select("set", "repo_name", "filename")
+
+
+def q_tasks_roundtrip(spark, sf):
+    """SNK5 -> SRC5: JSONL tasks per set."""
+    from corpusmill.sources import readers as R
+    from corpusmill.sources import sinks as W
+    out = _io_dir(spark, "tasks")
+    W.write_tasks(_tasks(spark, sf), out)
+    parts = [R.read_tasks(spark, f"{out}/set={s}").withColumn("set", F.lit(s)) for s in TK.EVAL_SETS]
+    t = parts[0].unionByName(parts[1])
+    return t.select("set", "groundTruth", F.md5("leftContext").alias("left_md5"),
+                    F.md5("rightContext").alias("right_md5"))
+
+
+def q_clusters_roundtrip(spark, sf):
+    """SNK3 -> SRC7: one JSON array of members per line."""
+    from corpusmill.sources import readers as R
+    from corpusmill.sources import sinks as W
+    c = G.cluster_lists(_components(spark, sf))
+    out = _io_dir(spark, "clusters")
+    W.write_clusters(c.select(F.col("members").cast("array<string>").alias("members")), out)
+    back = R.read_clusters(spark, out)
+    return back.select(F.size("members").alias("size"), F.array_join("members", ",").alias("members"))
+
+
+def q_sequences_roundtrip(spark, sf):
+    """SNK6 -> SRC6: sequence lines, leading marker dropped on read."""
+    from corpusmill.sources import readers as R
+    from corpusmill.sources import sinks as W
+    out = _io_dir(spark, "seqs")
+    W.write_sequences(_seqs(spark, sf), out)
+    back = R.read_sequences(spark, out)
+    return back.select(F.md5("source").alias("source_md5"), F.length("source").alias("source_len"))
+
+
+def q_nonblank_lines(spark, sf):
+    """SRC8 over the file contents written as text."""
+    from corpusmill.sources import readers as R
+    out = _io_dir(spark, "lines")
+    S.files(spark, sf).select(F.col("content").alias("value")).write.text(out)
+    return R.read_nonblank_lines(spark, out)
+
+
+def q_predictions_sink(spark, sf):
+    """SNK7: stripped predictions in example order."""
+    from corpusmill.sources import sinks as W
+    out = _io_dir(spark, "preds")
+    W.write_predictions(_predictions(spark, sf), out)
+    return spark.read.text(out)
+
+
+QUERIES.update({
+    name[2:]: fn for name, fn in sorted(globals().items())
+    if name.startswith("q_") and callable(fn) and name[2:] not in QUERIES
+})

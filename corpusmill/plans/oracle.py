@@ -270,3 +270,18 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
 }
 ORACLE_SQL["padding_stats"] = ORACLE_SQL["padding_stats"].replace(
     "SELECT CAST((row_number()", "SELECT batch, max(nr) AS max_len, count(*) AS rows FROM (SELECT CAST((row_number()") + ") GROUP BY batch"
+
+ORACLE_SQL.update({
+    "token_docs_roundtrip": _w(FILES, TOKS) + """SELECT f.filename || ':' || f.project AS id, CAST(len(t.tokens) AS INTEGER) AS n_tokens
+        FROM files f JOIN toks t USING (doc_id)""",
+    "stream_token_index": _w(FILES, TOKS) + """SELECT f.filename, CAST(len(t.tokens) AS INTEGER) AS n,
+        CAST(len(list_distinct(t.tokens)) AS INTEGER) AS k FROM files f JOIN toks t USING (doc_id) WHERE len(t.tokens) >= 20""",
+    "split_roundtrip": _w(FILES, SPLIT) + "SELECT set, repo_name, filename FROM split",
+    "tasks_roundtrip": _w(FILES, TASKS) + """SELECT set, groundTruth, md5(leftContext) AS left_md5, md5(rightContext) AS right_md5 FROM tasks""",
+    "clusters_roundtrip": _w(TOKS, BAG, PAIRS, COMPONENTS) + """SELECT CAST(count(*) AS INTEGER) AS size,
+        string_agg(CAST(node AS VARCHAR), ',' ORDER BY node) AS members FROM comp GROUP BY cluster_id""",
+    "sequences_roundtrip": _w(SEQS) + "SELECT md5(data) AS source_md5, CAST(length(data) AS INTEGER) AS source_len FROM stoks",
+    "nonblank_lines": """SELECT value FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)
+        WHERE regexp_matches(value, '\\S')""",
+    "predictions_sink": _w(FILES, PREDS) + """SELECT regexp_replace(pred, '^\\s+|\\s+$', '', 'g') AS value FROM preds""",
+})
