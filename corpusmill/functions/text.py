@@ -76,12 +76,13 @@ def strip_ws(s: Column | str) -> Column:
 
 def normalise_ws(s: Column | str) -> Column:
     """PRJ11: split on whitespace and re-join with one space."""
-    return F.array_join(F.filter(F.split(_c(s), r"\s+"), lambda x: x != F.lit("")), " ")
+    return F.array_join(ws_tokens(s), " ")
 
 
 def ws_tokens(s: Column | str) -> Column:
-    """Whitespace tokens (Python ``str.split()``)."""
-    return F.filter(F.split(_c(s), r"\s+"), lambda x: x != F.lit(""))
+    """Whitespace tokens (Python ``str.split()``); native ``array_remove``
+    drops the empty edge pieces (no interpreted lambda)."""
+    return F.array_remove(F.split(_c(s), r"\s+"), "")
 
 
 def drop_first_token(s: Column | str) -> Column:
@@ -93,7 +94,7 @@ def drop_first_token(s: Column | str) -> Column:
 def to_sequence(content: Column | str) -> Column:
     """PRJ10: '<s> ' + every non-blank line + ' </s> ' ... + ' </s>'."""
     lines = F.filter(reader_lines(content), lambda x: x.rlike(r"\S"))
-    body = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit(" </s> "))), "")
+    body = F.when(F.size(lines) > 0, F.concat(F.array_join(lines, " </s> "), F.lit(" </s> "))).otherwise(F.lit(""))
     return F.concat(F.lit("<s> "), body, F.lit(" </s>"))
 
 
@@ -146,7 +147,7 @@ def cut_at_pad(ids: Column | str, pad: int = 0) -> Column:
 
 def drop_bare_space(tokens: Column | str) -> Column:
     """PRJ18: remove the bare word-boundary token."""
-    return F.filter(_c(tokens), lambda t: t != F.lit(BARE_SPACE))
+    return F.array_remove(_c(tokens), BARE_SPACE)
 
 
 def prefix_markers(tokens: Column | str) -> Column:

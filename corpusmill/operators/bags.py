@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,8 +48,12 @@ def token_order(bags: DataFrame) -> DataFrame:
     checkpointed: ids must not change if the frame is evaluated twice.
     """
     vocab = bags.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    # persisted: the range partitioner's sampling job would recompute it
+    vocab = vocab.persist(StorageLevel.MEMORY_AND_DISK)
     ranked = vocab.orderBy("df", "token").withColumn("tid", F.monotonically_increasing_id())
-    return reliable_checkpoint(ranked)
+    ranked = reliable_checkpoint(ranked)
+    vocab.unpersist()
+    return ranked
 
 
 def build_vocab(tokens_df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
@@ -63,16 +68,26 @@ def build_vocab(tokens_df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     return with_row_index(first, [F.col("first_seen")], "token_id").drop("first_seen")
 
 
+# Fixed bound for broadcasting a vocabulary (rows); above it the lookup is a
+# shuffle join on token.
+BROADCAST_VOCAB_MAX_ROWS = 2_000_000
+
+
 def vocab_encode(tokens_df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
-                 unk_id: int = -1) -> DataFrame:
+                 unk_id: int = -1, broadcast_max_rows: int = BROADCAST_VOCAB_MAX_ROWS) -> DataFrame:
     """JN9 lookup: token array -> id array, unknown -> ``unk_id``.
 
-    Shuffle join on token (the vocabulary grows with the corpus, so it is not
-    broadcast unless the optimizer measures it small), then re-assembly by
-    position.
+    The vocabulary grows with the corpus, so it is broadcast only after its
+    row count has been checked against ``broadcast_max_rows``; the exploded
+    tokens then stay in their document partitioning and the re-assembly by
+    document needs no shuffle when the input is partitioned by id.  Above
+    the bound the lookup is a shuffle join on token.
     """
     exploded = tokens_df.select("id", F.posexplode(tokens_col).alias("pos", "token"))
-    joined = exploded.join(vocab, "token", "left")
+    v = vocab.select("token", "token_id")
+    if v.count() <= broadcast_max_rows:
+        v = F.broadcast(v)
+    joined = exploded.join(v, "token", "left")
     return (joined.groupBy("id")
             .agg(F.sort_array(F.collect_list(F.struct(
                 "pos", F.coalesce("token_id", F.lit(unk_id)).alias("tid")))).alias("_p"))

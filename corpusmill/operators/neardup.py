@@ -65,12 +65,12 @@ def collapse_copies(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
     reps = (keyed.groupBy("h", "entries")
             .agg(F.min("id").alias("rep"), F.first("n").alias("n"),
                  F.first("k").alias("k"), F.count(F.lit(1)).alias("copies")))
-    reps = reliable_checkpoint(reps)
+    # reused by candidates, verification and the copy map; recomputable
+    # deterministically from the checkpointed token order if an executor is lost
+    reps = reps.persist(StorageLevel.MEMORY_AND_DISK)
     members = (keyed.select("id", "h", "entries")
                .join(reps.select("h", "entries", "rep"), ["h", "entries"])
-               .select("id", "rep"))
-    members = reliable_checkpoint(members)
-    keyed.unpersist()
+               .select("id", "rep")).persist(StorageLevel.MEMORY_AND_DISK)
     return reps.drop("h"), members
 
 
@@ -139,15 +139,26 @@ def candidate_pairs(reps: DataFrame, key_threshold: float, threshold: float) ->
     return grouped.where(bound >= need).select("x", "y")
 
 
+# Fixed bound (bytes of key ids) under which the representatives' key arrays
+# are broadcast for verification; above it they are shuffle-joined.
+VERIFY_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
 def verify_pairs(cands: DataFrame, reps: DataFrame, key_threshold: float,
-                 threshold: float) -> DataFrame:
+                 threshold: float, broadcast_bytes: int = VERIFY_BROADCAST_BYTES) -> DataFrame:
     """Exact similarities for candidate pairs; keep those passing both thresholds.
 
-    Two phases keep the shuffled payload small: the set overlap ships only
-    the sorted key-id arrays (8 bytes per distinct token); the bag merge for
-    the multiset overlap ships whole bags for the survivors of phase one.
+    Two phases keep the moved payload small: the set overlap needs only the
+    sorted key-id arrays (8 bytes per distinct token); the bag merge for the
+    multiset overlap reads whole bags for the survivors of phase one.  The
+    key arrays are broadcast only when their measured total size is under
+    ``broadcast_bytes``; otherwise each candidate ships one array through a
+    shuffle.
     """
     keys = reps.select("rep", F.col("entries.tid").alias("keys"), "k")
+    total_keys = reps.agg(F.sum("k")).first()[0] or 0
+    if total_keys * 8 <= broadcast_bytes:
+        keys = F.broadcast(keys)
     a = keys.select(F.col("rep").alias("x"), F.col("keys").alias("xa"), F.col("k").alias("ka"))
     b = keys.select(F.col("rep").alias("y"), F.col("keys").alias("yb"), F.col("k").alias("kb"))
     ko = F.size(F.array_intersect("xa", "yb"))
@@ -226,7 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "id", tokens_col: str = "toke
     reps, members = collapse_copies(sig)
     cands = candidate_pairs(reps, key_threshold, threshold)
     pairs = verify_pairs(cands, reps, key_threshold, threshold)
-    pairs = reliable_checkpoint(pairs)
+    pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
     return NearDuplicates(pairs, members, reps)
 
 

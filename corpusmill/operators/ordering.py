@@ -7,6 +7,7 @@ row per partition) and an offset join.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,10 +21,14 @@ def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index")
     re-evaluation and survives executor loss.  Only one row per partition
     reaches the offset table, so its size is bounded by the partition count.
     """
-    sorted_df = (df.orderBy(*order)
+    # the range partitioner samples its input in a separate job: persist so
+    # the upstream plan runs once
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    sorted_df = (src.orderBy(*order)
                  .withColumn("_pid", F.spark_partition_id())
                  .withColumn("_mid", F.monotonically_increasing_id()))
     sorted_df = reliable_checkpoint(sorted_df)
+    src.unpersist()
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: bounded by the partition count
     offsets = counts.select(

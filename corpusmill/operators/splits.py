@@ -39,7 +39,7 @@ def repo_sets(files: DataFrame, test: float, train: float, validation: float,
     keys = with_repo_columns(files.select(name_col), name_col).select("repo_key").distinct()
     ranked = with_row_index(keys.withColumn("_r", seeded_rank(F.col("repo_key"), seed)),
                             [F.col("_r"), F.col("repo_key")], "rank")
-    r = keys.count()
+    r = ranked.count()  # reads the checkpointed ranking
     n_test = int(math.floor(test * r))
     n_val = int(math.floor(validation * r))
     s = (F.when(F.col("rank") < n_test, F.lit("test"))
