@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.session import reliable_checkpoint
 
@@ -52,15 +53,28 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     raise RuntimeError("connected components did not converge")
 
 
-def cluster_lists(components: DataFrame, node: str = "node") -> DataFrame:
-    """GR3: one row per cluster with its size and sorted member list.
+# Fixed bound on members per emitted list; larger clusters are split in parts.
+MAX_LIST_MEMBERS = 100_000
 
-    A cluster's list is one output row by definition (the reference writes
-    arrays); sizes and statistics never need it.
+
+def cluster_lists(components: DataFrame, node: str = "node",
+                  max_members: int = MAX_LIST_MEMBERS) -> DataFrame:
+    """GR3: (cluster_id, part, size, members) with sorted member lists.
+
+    A cluster of more than ``max_members`` nodes is emitted as
+    ceil(size / max_members) parts (part = node mod parts for integral ids,
+    a hash otherwise), so no list grows with the largest cluster; smaller
+    clusters have one part (0).
     """
-    return (components.groupBy("cluster_id")
-            .agg(F.count(F.lit(1)).alias("size"),
-                 F.sort_array(F.collect_list(node)).alias("members")))
+    sizes = components.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
+    parts = F.ceil(F.col("size") / F.lit(max_members)).cast("long")
+    key = F.col(node)
+    if not isinstance(components.schema[node].dataType, (T.LongType, T.IntegerType, T.ShortType)):
+        key = F.xxhash64(key)
+    tagged = (components.join(sizes, "cluster_id")
+              .withColumn("part", F.pmod(key, parts).cast("long")))
+    return (tagged.groupBy("cluster_id", "part")
+            .agg(F.first("size").alias("size"), F.sort_array(F.collect_list(node)).alias("members")))
 
 
 def cluster_sizes(components: DataFrame) -> DataFrame:

@@ -1,8 +1,11 @@
 """Training-log analytics with window functions (WIN1-WIN3).
 
-Windows are partitioned by run (and epoch); a run's log is bounded by its
-training steps.  The epoch table of ``best_checkpoint`` has one row per
-epoch.
+No window is partitioned by run alone: a run may hold a large share of the
+log.  Running totals use the distributed per-group prefix of
+``ordering.with_group_prefix``; the trailing mean uses blocked windows with
+a halo (each block also sees the previous block), so every window partition
+holds at most two blocks of rows.  ``best_checkpoint`` orders the per-epoch
+table (one row per epoch).
 """
 
 from __future__ import annotations
@@ -10,15 +13,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.operators.ordering import with_group_prefix
 
-def trailing_mean(log: DataFrame, every: int = 100, window: int = 100) -> DataFrame:
+BLOCK_ROWS = 4096  # fixed block size of the halo windows (must be >= window)
+
+
+def trailing_mean(log: DataFrame, every: int = 100, window: int = 100,
+                  block: int = BLOCK_ROWS) -> DataFrame:
     """WIN1: at every ``every``-th step of an epoch, the mean of the last
-    ``window`` losses of the run (the list spans epochs), rounded to 4."""
+    ``window`` losses of the run (the list spans epochs), rounded to 4.
+
+    ``step`` numbers the run's losses 1, 2, ...; a row belongs to block
+    (step-1) // block and is also copied into the next block as halo, so the
+    ``window``-row frame of every row lies inside its block's partition.
+    """
     if every < 1 or window < 1:
         raise ValueError("every and window must be >= 1")
-    w = Window.partitionBy("run").orderBy("step").rowsBetween(-(window - 1), 0)
-    return (log.withColumn("trailing_loss", F.round(F.avg("loss").over(w), 4))
-            .where(F.col("epoch_step") % every == 0)
+    if block < window:
+        raise ValueError("block must be >= window")
+    b = F.floor((F.col("step") - 1) / F.lit(block)).cast("long")
+    rows = log.select("run", "epoch", "epoch_step", "step", "loss", b.alias("home"))
+    copies = rows.select("*", F.explode(F.array(F.col("home"), F.col("home") + 1)).alias("block"))
+    w = Window.partitionBy("run", "block").orderBy("step").rowsBetween(-(window - 1), 0)
+    return (copies.withColumn("trailing_loss", F.round(F.avg("loss").over(w), 4))
+            .where((F.col("block") == F.col("home")) & (F.col("epoch_step") % every == 0))
             .select("run", "epoch", "epoch_step", "step", "trailing_loss"))
 
 
@@ -37,7 +55,6 @@ def final_best(epochs: DataFrame) -> DataFrame:
 
 def running_totals(log: DataFrame) -> DataFrame:
     """WIN3: running loss sum and example count, reset every epoch."""
-    w = (Window.partitionBy("run", "epoch").orderBy("step")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return log.select("run", "epoch", "step", F.round(F.sum("loss").over(w), 6).alias("running_loss"),
-                      F.count(F.lit(1)).over(w).alias("examples"))
+    p = with_group_prefix(log.select("run", "epoch", "step", "loss"), ["run", "epoch"], ["step"],
+                          "loss", "examples", "running")
+    return p.select("run", "epoch", "step", F.round("running", 6).alias("running_loss"), "examples")

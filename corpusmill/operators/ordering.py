@@ -104,3 +104,46 @@ def batch_count(n_rows: Column, batch_size: int, accumulation_steps: int = 1) ->
     if per_step < 1:
         raise ValueError("batch_size // accumulation_steps must be >= 1")
     return F.ceil(n_rows / F.lit(per_step)).cast("long")
+
+
+def with_group_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str],
+                      value_col: str | None = None, index_name: str = "row_number",
+                      sum_name: str = "prefix_sum") -> DataFrame:
+    """Per-group 1-based row number (and running sum of ``value_col``) in
+    ``order_cols`` order, without putting a group into one task.
+
+    Rows are range-partitioned on (group, order), so a hot group spans many
+    partitions.  Each partition numbers its rows locally (a window over
+    (partition, group) is bounded by the partition), and one total per
+    (partition, group) gives the offsets of the earlier partitions (a group
+    spans at most all partitions, so that window is bounded too).  The
+    sorted frame is checkpointed so the numbering is stable.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    keys = [F.col(c) for c in group_cols + order_cols]
+    ranged = (src.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+              .withColumn("_pid", F.spark_partition_id()))
+    local_w = (Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.withColumn("_ln", F.count(F.lit(1)).over(local_w))
+    aggs = [F.count(F.lit(1)).alias("_cn")]
+    if value_col is not None:
+        local = local.withColumn("_ls", F.sum(value_col).over(local_w))
+        aggs.append(F.sum(value_col).alias("_cs"))
+    local = reliable_checkpoint(local)
+    src.unpersist()
+    totals = local.groupBy("_pid", *group_cols).agg(*aggs)
+    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = totals.select("_pid", *group_cols,
+                         F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_on"),
+                         *([F.coalesce(F.sum("_cs").over(before), F.lit(0.0)).alias("_os")]
+                           if value_col is not None else []))
+    out = local.join(offs, ["_pid", *group_cols])
+    out = out.withColumn(index_name, (F.col("_on") + F.col("_ln")).cast("long"))
+    drop = ["_pid", "_ln", "_on", "_cn"]
+    if value_col is not None:
+        out = out.withColumn(sum_name, F.col("_os") + F.col("_ls"))
+        drop += ["_ls", "_os", "_cs"]
+    return out.drop(*[c for c in drop if c in out.columns])

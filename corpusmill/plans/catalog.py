@@ -155,7 +155,8 @@ def q_clone_clusters(spark, sf):
 
 def q_cluster_lists(spark, sf):
     c = G.cluster_lists(_components(spark, sf))
-    return c.select("cluster_id", "size", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
+    return c.select("cluster_id", "part", "size",
+                    F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
 
 
 def q_cluster_sizes(spark, sf):

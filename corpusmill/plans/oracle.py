@@ -163,8 +163,9 @@ o AS (SELECT a.doc_id AS id1, count(*) AS ko, sum(least(a.cnt, c.cnt)) AS mo FRO
     "leader_pairs": _w(TOKS, BAG, PAIRS, LEADER) + "SELECT leader, duplicate FROM lp",
     "symmetric_edges": _w(TOKS, BAG, PAIRS) + "SELECT id1 AS src, id2 AS dst FROM pairs UNION SELECT id2, id1 FROM pairs",
     "clone_clusters": _w(TOKS, BAG, PAIRS, COMPONENTS) + "SELECT node, cluster_id FROM comp",
-    "cluster_lists": _w(TOKS, BAG, PAIRS, COMPONENTS) + """SELECT cluster_id, count(*) AS size,
-        string_agg(CAST(node AS VARCHAR), ',' ORDER BY node) AS members FROM comp GROUP BY cluster_id""",
+    "cluster_lists": _w(TOKS, BAG, PAIRS, COMPONENTS) + """SELECT c.cluster_id, c.node % CAST(ceil(s.size / 100000) AS BIGINT) AS part,
+        any_value(s.size) AS size, string_agg(CAST(c.node AS VARCHAR), ',' ORDER BY c.node) AS members
+        FROM comp c JOIN sizes s USING (cluster_id) GROUP BY c.cluster_id, part""",
     "cluster_sizes": _w(TOKS, BAG, PAIRS, COMPONENTS) + "SELECT cluster_id, size FROM sizes",
     "cluster_summary": _w(TOKS, BAG, PAIRS, COMPONENTS, """hl AS (SELECT list(size ORDER BY size) AS l, count(*) AS n FROM sizes),
 hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") + """
@@ -279,7 +280,8 @@ ORACLE_SQL.update({
     "split_roundtrip": _w(FILES, SPLIT) + "SELECT set, repo_name, filename FROM split",
     "tasks_roundtrip": _w(FILES, TASKS) + """SELECT set, groundTruth, md5(leftContext) AS left_md5, md5(rightContext) AS right_md5 FROM tasks""",
     "clusters_roundtrip": _w(TOKS, BAG, PAIRS, COMPONENTS) + """SELECT CAST(count(*) AS INTEGER) AS size,
-        string_agg(CAST(node AS VARCHAR), ',' ORDER BY node) AS members FROM comp GROUP BY cluster_id""",
+        string_agg(CAST(c.node AS VARCHAR), ',' ORDER BY c.node) AS members
+        FROM comp c JOIN sizes s USING (cluster_id) GROUP BY c.cluster_id, c.node % CAST(ceil(s.size / 100000) AS BIGINT)""",
     "sequences_roundtrip": _w(SEQS) + "SELECT md5(data) AS source_md5, CAST(length(data) AS INTEGER) AS source_len FROM stoks",
     "nonblank_lines": """SELECT value FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)
         WHERE regexp_matches(value, '\\S')""",

@@ -12,9 +12,10 @@ epoch; predictions edit the ground truth by ``doc_id % 4`` (0 unchanged,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.operators.ordering import with_group_prefix
 from corpusmill.operators.tokenize import tokenize_regex
 
 EPOCH_ORIGIN = "2024-01-01"
@@ -64,10 +65,10 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = F.pmod(F.col("user_id"), F.lit(4)).alias("run")
     epoch = F.floor(F.datediff(F.to_date("ts"), F.lit(EPOCH_ORIGIN).cast("date")) / 7).cast("int")
     base = e.select(run, epoch.alias("epoch"), "ts", "event_id", F.col("value").alias("loss"))
-    w_run = Window.partitionBy("run").orderBy("ts", "event_id")
-    w_ep = Window.partitionBy("run", "epoch").orderBy("ts", "event_id")
-    return base.select("run", "epoch", F.row_number().over(w_run).cast("long").alias("step"),
-                       F.row_number().over(w_ep).cast("long").alias("epoch_step"), "loss")
+    # per-run and per-epoch step numbers without a window over a whole run
+    stepped = with_group_prefix(base, ["run"], ["ts", "event_id"], None, "step")
+    stepped = with_group_prefix(stepped, ["run", "epoch"], ["ts", "event_id"], None, "epoch_step")
+    return stepped.select("run", "epoch", "step", "epoch_step", "loss")
 
 
 def epochs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,3 +102,36 @@ def test_fixed_batches_last_short(spark):
     df = spark.range(0, 10)
     b = O.fixed_batches(df, 4, [F.col("id")]).groupBy("batch").count().orderBy("batch").collect()
     assert [r["count"] for r in b] == [4, 4, 2]
+
+
+def test_group_prefix_hot_group(spark):
+    rows = [(0, i, float(i % 7)) for i in range(1, 1001)] + [(g, i, 1.0) for g in range(1, 6) for i in range(1, 4)]
+    df = spark.createDataFrame(rows, "g long, t long, v double").repartition(5)
+    out = O.with_group_prefix(df, ["g"], ["t"], "v", "rn", "ps").collect()
+    expect_ps = {}
+    acc = {}
+    for g, t, v in sorted(rows):
+        acc[g] = acc.get(g, 0.0) + v
+        expect_ps[(g, t)] = acc[g]
+    assert len(out) == len(rows)
+    for r in out:
+        assert r.rn == r.t  # t runs 1..n inside every group
+        assert r.ps == pytest.approx(expect_ps[(r.g, r.t)])
+
+
+def test_trailing_mean_halo_blocks(spark):
+    rng = random.Random(5)
+    losses = [rng.random() for _ in range(50)]
+    rows = [(1, 0, s, s, losses[s - 1]) for s in range(1, 51)]
+    log = spark.createDataFrame(rows, "run long, epoch int, step long, epoch_step long, loss double")
+    out = {r.step: r.trailing_loss for r in L.trailing_mean(log, every=1, window=3, block=4).collect()}
+    for s in range(1, 51):
+        w = losses[max(0, s - 3):s]
+        assert out[s] == round(sum(w) / len(w), 4)
+
+
+def test_cluster_lists_parts(spark):
+    from corpusmill.operators import graph as G
+    comp = spark.createDataFrame([(n, 10) for n in range(10, 15)] + [(20, 20), (21, 20)], "node long, cluster_id long")
+    got = sorted((r.cluster_id, r.part, r.size, tuple(r.members)) for r in G.cluster_lists(comp, max_members=2).collect())
+    assert got == [(10, 0, 5, (12,)), (10, 1, 5, (10, 13)), (10, 2, 5, (11, 14)), (20, 0, 2, (20, 21))]
