@@ -91,6 +91,37 @@ def _band(size, th: float):
     return F.floor(F.log(size.cast("double")) / F.lit(math.log(1.0 / th))).cast("long")
 
 
+# Fixed values for hot prefix keys: a key with more than HOT_KEY_ROWS rows on
+# the indexing side is split into ceil(rows / HOT_KEY_ROWS) salt buckets; the
+# hot-key table is broadcast only when it has at most HOT_KEYS_BROADCAST rows.
+HOT_KEY_ROWS = 20_000
+HOT_KEYS_BROADCAST = 1_000_000
+
+
+def _salt_hot_keys(long_side: DataFrame, short_side: DataFrame, keys: list[str],
+                   hot_rows: int = HOT_KEY_ROWS) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Split hot join keys so no (key) group of the prefix join lands in one task.
+
+    Short-side rows of a hot key are spread over ``salts`` buckets by a hash
+    of their record id; long-side rows of that key are copied to every
+    bucket.  Each candidate is still produced exactly once.  Keys below the
+    bound keep salt 0 and are not copied.
+    """
+    stats = short_side.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = (stats.where(F.col("_rows") > hot_rows)
+           .select(*keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts")))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return long_side, short_side, keys
+    hot_t = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST else hot
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    short = (short_side.join(hot_t, keys, "left")
+             .withColumn("_salt", F.pmod(F.xxhash64("y"), salts).cast("int")).drop("_salts"))
+    long_ = (long_side.join(hot_t, keys, "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts"))
+    return long_, short, keys + ["_salt"]
+
+
 def candidate_pairs(reps: DataFrame, key_threshold: float, threshold: float) -> DataFrame:
     """Prefix + length + positional filtered candidates (x, y) among representatives.
 
@@ -128,7 +159,8 @@ def candidate_pairs(reps: DataFrame, key_threshold: float, threshold: float) ->
     other = F.lit(key_threshold if multiset else threshold)
     other_small = F.least("kx", "ky") if multiset else F.least("nx", "ny")
     other_big = F.greatest("kx", "ky") if multiset else F.greatest("nx", "ny")
-    joined = long_side.join(short_side, ["tid", "occ", "band"]).where(
+    long_side, short_side, keys = _salt_hot_keys(long_side, short_side, ["tid", "occ", "band"])
+    joined = long_side.join(short_side, keys).where(
         ((F.col("sy") < F.col("sx")) | ((F.col("sy") == F.col("sx")) & (F.col("y") < F.col("x"))))
         & (F.col("sy") >= F.col("sx") * F.lit(th) - F.lit(EPS))
         & (other_small >= other_big * other - F.lit(EPS)))

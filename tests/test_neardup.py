@@ -150,3 +150,13 @@ def test_key_and_multiset_jaccard_functions(spark):
     assert df.select(N.key_jaccard("a", "b")).first()[0] == pytest.approx(2 / 3)
     m = spark.createDataFrame([({"a": 1, "b": 1}, {"a": 3, "b": 1})], "x map<string,long>, y map<string,long>")
     assert m.select(N.multiset_jaccard(F.col("x"), F.col("y"))).first()[0] == 0.5
+
+
+def test_hot_prefix_keys_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(N, "HOT_KEY_ROWS", 3)
+    orig = N._salt_hot_keys
+    monkeypatch.setattr(N, "_salt_hot_keys", lambda l, s, k, hot_rows=3: orig(l, s, k, hot_rows))
+    docs = random_corpus(11, n_docs=60, vocab=12)
+    assert set(spark_pairs(spark, docs)) == set(brute_pairs(docs, 0.5, 0.5))
+    sides = N.candidate_pairs(N.near_duplicates(docs_df(spark, docs)).reps, 0.5, 0.5)
+    assert "_salt" in sides._jdf.queryExecution().optimizedPlan().toString()
