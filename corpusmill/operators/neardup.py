@@ -193,9 +193,13 @@ def verify_pairs(cands: DataFrame, reps: DataFrame, key_threshold: float,
         keys = F.broadcast(keys)
     a = keys.select(F.col("rep").alias("x"), F.col("keys").alias("xa"), F.col("k").alias("ka"))
     b = keys.select(F.col("rep").alias("y"), F.col("keys").alias("yb"), F.col("k").alias("kb"))
-    ko = F.size(F.array_intersect("xa", "yb"))
-    phase1 = (cands.join(a, "x").join(b, "y")
-              .select("x", "y", "ka", "kb", ko.alias("ko")))
+    # the overlap appears once in the pre-filter (the optimizer inlines a
+    # filter into the join condition, where repeated subexpressions are not
+    # shared); ko/(ka+kb-ko) >= t  <=>  ko*(1+t) >= t*(ka+kb), with slack
+    pre = (F.size(F.array_intersect("xa", "yb")) * F.lit(1.0 + key_threshold)
+           >= (F.col("ka") + F.col("kb")) * F.lit(key_threshold) - F.lit(EPS))
+    phase1 = cands.join(a, "x").join(b, "y").where(pre)
+    phase1 = phase1.select("x", "y", "ka", "kb", F.size(F.array_intersect("xa", "yb")).alias("ko"))
     union = F.col("ka") + F.col("kb") - F.col("ko")
     key_sim = F.when(union == 0, F.lit(0.0)).otherwise(F.col("ko") / union)
     survivors = phase1.withColumn("key_jaccard", key_sim).where(F.col("key_jaccard") >= F.lit(key_threshold))
