@@ -68,9 +68,13 @@ def collapse_copies(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
     # reused by candidates, verification and the copy map; recomputable
     # deterministically from the checkpointed token order if an executor is lost
     reps = reps.persist(StorageLevel.MEMORY_AND_DISK)
-    members = (keyed.select("id", "h", "entries")
-               .join(reps.select("h", "entries", "rep"), ["h", "entries"])
-               .select("id", "rep")).persist(StorageLevel.MEMORY_AND_DISK)
+    # a copy group is a hot key of this join: salt it by the known copy count,
+    # keyed by the bag hash (a colliding bag is merely salted as well)
+    hot = (hot_copy_groups(reps, "h").groupBy("h").agg(F.max("_salts").alias("_salts")))
+    big, small, keys = salted_join_sides(
+        keyed.select("id", "h", "entries"), reps.select("h", "entries", "rep"), ["h", "entries"],
+        hot, "id", hot_keys=["h"])
+    members = big.join(small, keys).select("id", "rep").persist(StorageLevel.MEMORY_AND_DISK)
     return reps.drop("h"), members
 
 
@@ -98,28 +102,47 @@ HOT_KEY_ROWS = 20_000
 HOT_KEYS_BROADCAST = 1_000_000
 
 
-def _salt_hot_keys(long_side: DataFrame, short_side: DataFrame, keys: list[str],
-                   hot_rows: int = HOT_KEY_ROWS) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Split hot join keys so no (key) group of the prefix join lands in one task.
+def salted_join_sides(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame,
+                      big_id: str, hot_keys: list[str] | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Prepare a join whose ``big`` side may hold very large key groups.
 
-    Short-side rows of a hot key are spread over ``salts`` buckets by a hash
-    of their record id; long-side rows of that key are copied to every
-    bucket.  Each candidate is still produced exactly once.  Keys below the
-    bound keep salt 0 and are not copied.
+    ``hot`` lists the hot keys with their bucket count ``_salts`` (it is
+    broadcast when it has at most HOT_KEYS_BROADCAST rows, checked by the
+    caller).  Big-side rows of a hot key are spread over ``_salts`` buckets by
+    a hash of ``big_id``; small-side rows of that key are copied to every
+    bucket; other keys keep bucket 0.  Joining on ``keys + ['_salt']`` gives
+    exactly the rows of the plain join.  ``hot_keys`` (default ``keys``) may
+    be a prefix of ``keys`` such as a hash: rows sharing it are salted alike.
     """
-    stats = short_side.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = (stats.where(F.col("_rows") > hot_rows)
-           .select(*keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts")))
+    hot_keys = hot_keys or keys
     n_hot = hot.count()
     if n_hot == 0:
-        return long_side, short_side, keys
+        return big, small, keys
     hot_t = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST else hot
     salts = F.coalesce(F.col("_salts"), F.lit(1))
-    short = (short_side.join(hot_t, keys, "left")
-             .withColumn("_salt", F.pmod(F.xxhash64("y"), salts).cast("int")).drop("_salts"))
-    long_ = (long_side.join(hot_t, keys, "left")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts"))
-    return long_, short, keys + ["_salt"]
+    big_s = (big.join(hot_t, hot_keys, "left")
+             .withColumn("_salt", F.pmod(F.xxhash64(big_id), salts).cast("int")).drop("_salts"))
+    small_s = (small.join(hot_t, hot_keys, "left")
+               .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts"))
+    return big_s, small_s, keys + ["_salt"]
+
+
+def _salt_hot_keys(long_side: DataFrame, short_side: DataFrame, keys: list[str],
+                   hot_rows: int = HOT_KEY_ROWS) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Split hot keys of the prefix join: short-side rows of a key with more
+    than ``hot_rows`` rows go to ceil(rows / hot_rows) buckets, the long-side
+    rows of that key are copied to each bucket."""
+    stats = short_side.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = (stats.where(F.col("_rows") > hot_rows)
+           .select(*keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts")))
+    short, long_, k = salted_join_sides(short_side, long_side, keys, hot, "y")
+    return long_, short, k
+
+
+def hot_copy_groups(reps: DataFrame, key: str = "rep", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """(key, _salts) for copy groups with more than ``hot_rows`` members."""
+    return (reps.where(F.col("copies") > hot_rows)
+            .select(key, F.ceil(F.col("copies") / F.lit(hot_rows)).cast("int").alias("_salts")))
 
 
 def candidate_pairs(reps: DataFrame, key_threshold: float, threshold: float) -> DataFrame:

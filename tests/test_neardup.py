@@ -160,3 +160,22 @@ def test_hot_prefix_keys_are_salted(spark, monkeypatch):
     assert set(spark_pairs(spark, docs)) == set(brute_pairs(docs, 0.5, 0.5))
     sides = N.candidate_pairs(N.near_duplicates(docs_df(spark, docs)).reps, 0.5, 0.5)
     assert "_salt" in sides._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hot_copy_group_salting(spark, monkeypatch):
+    monkeypatch.setattr(N, "HOT_KEY_ROWS", 2)
+    monkeypatch.setattr(D, "hot_copy_groups", lambda reps, key="rep", hot_rows=2: N.hot_copy_groups(reps, key, hot_rows))
+    orig = N.hot_copy_groups
+    monkeypatch.setattr(N, "hot_copy_groups", lambda reps, key="rep", hot_rows=2: orig(reps, key, hot_rows))
+    a = [f"t{i}" for i in range(30)]
+    b = a[:25] + ["u"] * 5
+    docs = {i: list(a) for i in range(1, 8)}
+    docs.update({i: list(b) for i in range(10, 13)})
+    docs[20] = [f"z{i}" for i in range(30)]
+    nd = N.near_duplicates(docs_df(spark, docs))
+    assert sorted(tuple(r) for r in nd.members.collect()) == sorted(
+        [(i, 1) for i in range(1, 8)] + [(i, 10) for i in range(10, 13)] + [(20, 20)])
+    comp = sorted(tuple(r) for r in D.clone_clusters(nd).collect())
+    assert comp == sorted([(i, 1) for i in list(range(1, 8)) + [10, 11, 12]])
+    leader = sorted(tuple(r) for r in D.leader_assignment(nd).collect())
+    assert leader == sorted([(1, i) for i in list(range(2, 8)) + [10, 11, 12]])
