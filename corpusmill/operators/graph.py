@@ -11,8 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.operators.neardup import salted_join_sides
 from corpusmill.session import reliable_checkpoint
 
+# Fixed bound: a label shared by more nodes than this is salted in the
+# pointer-jumping join.
+HOT_LABEL_ROWS = 20_000
+
 
 def symmetrise(pairs: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:
     """GR1: both directions, unique neighbours, no self loops."""
@@ -27,8 +32,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
 
     Min-label propagation over the edges followed by pointer jumping
     (label <- label of label) each round; stops when no label changes.
-    Aggregations are partial before the shuffle; a component holding a large
-    share of the nodes is a skewed join key that AQE splits.
+    Aggregations are partial before the shuffle; the label of a component
+    holding a large share of the nodes is salted in the pointer-jump join.
     """
     e = symmetrise(edges, src, dst)
     e = reliable_checkpoint(e)
@@ -41,8 +46,13 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
         step = (labels.join(nb, "node", "left")
                 .select("node", F.col("label").alias("old"),
                         F.least("label", F.coalesce("nb_label", "label")).alias("label")))
-        parent = step.select(F.col("node").alias("p"), F.col("label").alias("plabel"))
-        jumped = (step.join(parent, step["label"] == parent["p"], "left")
+        parent = step.select(F.col("node").alias("label"), F.col("label").alias("plabel"))
+        # a large component makes its label a hot join key: salt it
+        counts = step.groupBy("label").agg(F.count(F.lit(1)).alias("_rows"))
+        hot = (counts.where(F.col("_rows") > HOT_LABEL_ROWS)
+               .select("label", F.ceil(F.col("_rows") / F.lit(HOT_LABEL_ROWS)).cast("int").alias("_salts")))
+        big, small, keys = salted_join_sides(step, parent, ["label"], hot, "node")
+        jumped = (big.join(small, keys, "left")
                   .select("node", "old", F.least("label", F.coalesce("plabel", "label")).alias("label")))
         # one reliable checkpoint per round; the change test reads it back
         jumped = reliable_checkpoint(jumped)

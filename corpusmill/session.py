@@ -21,7 +21,8 @@ def get_spark(master: str | None = None, app: str = "corpusmill",
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
+        .config("spark.sql.shuffle.partitions",
+                str(shuffle_partitions or os.environ.get("CORPUSMILL_SHUFFLE_PARTITIONS", cpus)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

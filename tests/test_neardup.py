@@ -179,3 +179,13 @@ def test_hot_copy_group_salting(spark, monkeypatch):
     assert comp == sorted([(i, 1) for i in list(range(1, 8)) + [10, 11, 12]])
     leader = sorted(tuple(r) for r in D.leader_assignment(nd).collect())
     assert leader == sorted([(1, i) for i in list(range(2, 8)) + [10, 11, 12]])
+
+
+def test_component_label_salting(spark, monkeypatch):
+    from corpusmill.operators import graph as G
+    monkeypatch.setattr(G, "HOT_LABEL_ROWS", 2)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 30)] + [(100, 101), (101, 102)],
+                                  "src long, dst long")
+    comp = {r.node: r.cluster_id for r in G.connected_components(edges).collect()}
+    assert all(comp[i] == 1 for i in range(1, 31))
+    assert comp[101] == comp[102] == 100
