@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.session import reliable_checkpoint
+from corpusmill.session import adaptive_caching, reliable_checkpoint
 
 MIN_TOKENS = 20  # fixed value: minimum tokens per indexed file
 
@@ -47,6 +47,7 @@ def token_order(bags: DataFrame) -> DataFrame:
     partitioned sort, so tid order equals (df, token) order.  The result is
     checkpointed: ids must not change if the frame is evaluated twice.
     """
+    adaptive_caching(bags.sparkSession)
     vocab = bags.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     # persisted: the range partitioner's sampling job would recompute it
     vocab = vocab.persist(StorageLevel.MEMORY_AND_DISK)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators.bags import MIN_TOKENS, token_bag, token_order
-from corpusmill.session import reliable_checkpoint
+from corpusmill.session import adaptive_caching, reliable_checkpoint
 
 EPS = 1e-9  # slack that keeps every floating-point filter conservative
 
@@ -40,6 +40,7 @@ def signatures(docs: DataFrame, id_col: str = "id", tokens_col: str = "tokens",
 
     Output: id, entries array<struct<tid bigint, cnt bigint>>, n, k.
     """
+    adaptive_caching(docs.sparkSession)
     d = docs.select(F.col(id_col).alias("id"), F.col(tokens_col).alias("tokens"))
     bags = token_bag(d, "id", "tokens").persist(StorageLevel.MEMORY_AND_DISK)
     # the order may include short documents: any global order is valid

@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.session import reliable_checkpoint
+from corpusmill.session import adaptive_caching, reliable_checkpoint
 
 
 def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index") -> DataFrame:
@@ -23,6 +23,7 @@ def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index")
     """
     # the range partitioner samples its input in a separate job: persist so
     # the upstream plan runs once
+    adaptive_caching(df.sparkSession)
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     sorted_df = (src.orderBy(*order)
                  .withColumn("_pid", F.spark_partition_id())
@@ -121,6 +122,7 @@ def with_group_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    adaptive_caching(spark)
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     keys = [F.col(c) for c in group_cols + order_cols]
     ranged = (src.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)

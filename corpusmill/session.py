@@ -26,6 +26,7 @@ def get_spark(master: str | None = None, app: str = "corpusmill",
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CORPUSMILL_DRIVER_MEMORY", "16g"))
@@ -35,6 +36,17 @@ def get_spark(master: str | None = None, app: str = "corpusmill",
     return spark
 
 
+def adaptive_caching(spark: SparkSession) -> None:
+    """Let AQE size the partitions of persisted and checkpointed plans.
+
+    Runtime SQL setting.  Without it a persisted frame keeps
+    ``spark.sql.shuffle.partitions`` partitions however small it is, and
+    every later scan of it runs that many tasks.  The operators that persist
+    only reuse frames through joins and aggregations that shuffle anyway.
+    """
+    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 
@@ -61,4 +73,5 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     Survives executor loss, unlike ``localCheckpoint``.
     """
     checkpoint_dir(df.sparkSession)
+    adaptive_caching(df.sparkSession)
     return df.checkpoint(eager=True)
