@@ -189,3 +189,11 @@ def test_component_label_salting(spark, monkeypatch):
     comp = {r.node: r.cluster_id for r in G.connected_components(edges).collect()}
     assert all(comp[i] == 1 for i in range(1, 31))
     assert comp[101] == comp[102] == 100
+
+
+def test_pairs_independent_of_partitioning(spark):
+    docs = random_corpus(13, n_docs=50)
+    df = docs_df(spark, docs)
+    a = {tuple(r) for r in N.near_duplicate_pairs(df.repartition(1)).collect()}
+    b = {tuple(r) for r in N.near_duplicate_pairs(df.repartition(7, "id")).collect()}
+    assert a == b and a
