@@ -64,9 +64,13 @@ def build_vocab(tokens_df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     distributed row numbering, not a single-partition window.
     """
     from corpusmill.operators.ordering import with_row_index
-    first = (tokens_df.select("id", F.posexplode(tokens_col).alias("pos", "token"))
-             .groupBy("token").agg(F.min(F.struct("id", "pos")).alias("first_seen")))
-    return with_row_index(first, [F.col("first_seen")], "token_id").drop("first_seen")
+    # array_distinct keeps first occurrences in text order, so the position
+    # among distinct tokens orders them like their first raw position; each
+    # document contributes one row per token, so min(id) and min_by(pos, id)
+    # are exact -- and hash-aggregatable, unlike a struct minimum
+    firsts = tokens_df.select("id", F.posexplode(F.array_distinct(tokens_col)).alias("pos", "token"))
+    first = firsts.groupBy("token").agg(F.min("id").alias("fid"), F.min_by("pos", "id").alias("fpos"))
+    return with_row_index(first, [F.col("fid"), F.col("fpos")], "token_id").drop("fid", "fpos")
 
 
 # Fixed bound for broadcasting a vocabulary (rows); above it the lookup is a
