@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators.bags import MIN_TOKENS, token_bag, token_order
-from corpusmill.session import adaptive_caching, reliable_checkpoint
+from corpusmill.session import adaptive_caching
 
 EPS = 1e-9  # slack that keeps every floating-point filter conservative
 
@@ -60,7 +60,7 @@ def collapse_copies(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
       reps(rep, entries, n, k, copies)  one row per distinct bag;
       members(id, rep)                  every document and its representative.
     A copy group of any size is aggregated map-side first, then joined back
-    on (hash, bag); AQE splits a skewed join partition.
+    on (hash, bag) with the copy groups salted by their known size.
     """
     keyed = sig.withColumn("h", F.xxhash64("entries")).persist(StorageLevel.MEMORY_AND_DISK)
     reps = (keyed.groupBy("h", "entries")
