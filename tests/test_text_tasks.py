@@ -97,3 +97,14 @@ def test_assign_batches_round_robin(spark):
     f = spark.createDataFrame([(f"f{i:02d}",) for i in range(10)], "filename string")
     got = {r.filename: r.batch for r in TOK.assign_batches(f, 3).collect()}
     assert got["f00"] == 1 and got["f01"] == 2 and got["f02"] == 3 and got["f03"] == 1 and got["f09"] == 1
+
+
+def test_extension_null_line_and_quarantine(spark):
+    df = spark.createDataFrame([("a.py",), ("a.pyc",), ("b.js",)], "f string")
+    assert [r.f for r in df.where(X.has_extension("f", ".py")).collect()] == ["a.py"]
+    lines = spark.createDataFrame([("null",), ('{"x": 1}',), (" null",)], "v string")
+    assert lines.where(~X.is_null_line("v")).count() == 2
+    f = spark.createDataFrame([("a.py", "x = 1\n"), ("b.py", "def (\n")], "filename string, content string")
+    ok, bad = TOK.split_valid_invalid(TOK.tokenize_python(f))
+    assert [r.filename for r in ok.collect()] == ["a.py"]
+    assert [r.filename for r in bad.collect()] == ["b.py"] and bad.first().error
