@@ -109,7 +109,8 @@ def batch_count(n_rows: Column, batch_size: int, accumulation_steps: int = 1) ->
 
 def with_group_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str],
                       value_col: str | None = None, index_name: str = "row_number",
-                      sum_name: str = "prefix_sum") -> DataFrame:
+                      sum_name: str = "prefix_sum",
+                      sub_groups: dict[str, list[str]] | None = None) -> DataFrame:
     """Per-group 1-based row number (and running sum of ``value_col``) in
     ``order_cols`` order, without putting a group into one task.
 
@@ -119,33 +120,45 @@ def with_group_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str
     (partition, group) gives the offsets of the earlier partitions (a group
     spans at most all partitions, so that window is bounded too).  The
     sorted frame is checkpointed so the numbering is stable.
+
+    ``sub_groups`` maps extra index names to finer groupings (each containing
+    ``group_cols``); they are numbered in the same pass, which is exact
+    because earlier partitions hold only earlier rows of every group.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     adaptive_caching(spark)
+    levels = {index_name: list(group_cols)}
+    for name, cols in (sub_groups or {}).items():
+        if not set(group_cols) <= set(cols):
+            raise ValueError("a sub-group must contain the outer group columns")
+        levels[name] = list(cols)
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     keys = [F.col(c) for c in group_cols + order_cols]
-    ranged = (src.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id()))
-    local_w = (Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_ln", F.count(F.lit(1)).over(local_w))
-    aggs = [F.count(F.lit(1)).alias("_cn")]
-    if value_col is not None:
-        local = local.withColumn("_ls", F.sum(value_col).over(local_w))
-        aggs.append(F.sum(value_col).alias("_cs"))
+    local = (src.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+             .withColumn("_pid", F.spark_partition_id()))
+    for i, (name, cols) in enumerate(levels.items()):
+        w = (Window.partitionBy("_pid", *cols).orderBy(*order_cols)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        local = local.withColumn(f"_ln{i}", F.count(F.lit(1)).over(w))
+        if i == 0 and value_col is not None:
+            local = local.withColumn("_ls", F.sum(value_col).over(w))
     local = reliable_checkpoint(local)
     src.unpersist()
-    totals = local.groupBy("_pid", *group_cols).agg(*aggs)
-    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("_pid", *group_cols,
-                         F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_on"),
-                         *([F.coalesce(F.sum("_cs").over(before), F.lit(0.0)).alias("_os")]
-                           if value_col is not None else []))
-    out = local.join(offs, ["_pid", *group_cols])
-    out = out.withColumn(index_name, (F.col("_on") + F.col("_ln")).cast("long"))
-    drop = ["_pid", "_ln", "_on", "_cn"]
+    out = local
+    for i, (name, cols) in enumerate(levels.items()):
+        aggs = [F.count(F.lit(1)).alias("_cn")]
+        if i == 0 and value_col is not None:
+            aggs.append(F.sum(value_col).alias("_cs"))
+        totals = local.groupBy("_pid", *cols).agg(*aggs)
+        before = Window.partitionBy(*cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        offs = totals.select("_pid", *cols,
+                             F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias(f"_on{i}"),
+                             *([F.coalesce(F.sum("_cs").over(before), F.lit(0.0)).alias("_os")]
+                               if i == 0 and value_col is not None else []))
+        out = out.join(offs, ["_pid", *cols])
+        out = out.withColumn(name, (F.col(f"_on{i}") + F.col(f"_ln{i}")).cast("long"))
+        out = out.drop(f"_on{i}", f"_ln{i}")
     if value_col is not None:
-        out = out.withColumn(sum_name, F.col("_os") + F.col("_ls"))
-        drop += ["_ls", "_os", "_cs"]
-    return out.drop(*[c for c in drop if c in out.columns])
+        out = out.withColumn(sum_name, F.col("_os") + F.col("_ls")).drop("_os", "_ls")
+    return out.drop("_pid")

@@ -66,8 +66,8 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     epoch = F.floor(F.datediff(F.to_date("ts"), F.lit(EPOCH_ORIGIN).cast("date")) / 7).cast("int")
     base = e.select(run, epoch.alias("epoch"), "ts", "event_id", F.col("value").alias("loss"))
     # per-run and per-epoch step numbers without a window over a whole run
-    stepped = with_group_prefix(base, ["run"], ["ts", "event_id"], None, "step")
-    stepped = with_group_prefix(stepped, ["run", "epoch"], ["ts", "event_id"], None, "epoch_step")
+    stepped = with_group_prefix(base, ["run"], ["ts", "event_id"], None, "step",
+                                sub_groups={"epoch_step": ["run", "epoch"]})
     return stepped.select("run", "epoch", "step", "epoch_step", "loss")
 
 
