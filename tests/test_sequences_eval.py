@@ -135,3 +135,19 @@ def test_cluster_lists_parts(spark):
     comp = spark.createDataFrame([(n, 10) for n in range(10, 15)] + [(20, 20), (21, 20)], "node long, cluster_id long")
     got = sorted((r.cluster_id, r.part, r.size, tuple(r.members)) for r in G.cluster_lists(comp, max_members=2).collect())
     assert got == [(10, 0, 5, (12,)), (10, 1, 5, (10, 13)), (10, 2, 5, (11, 14)), (20, 0, 2, (20, 21))]
+
+
+def test_group_prefix_sub_groups(spark):
+    rng = random.Random(9)
+    rows = [(g, t, rng.randrange(3)) for g in range(3) for t in range(1, 200)]
+    df = spark.createDataFrame(rows, "g long, t long, e long").repartition(4)
+    out = O.with_group_prefix(df, ["g"], ["t"], None, "rn", sub_groups={"ern": ["g", "e"]}).collect()
+    seen = {}
+    expect = {}
+    for g, t, e in sorted(rows):
+        seen[(g, e)] = seen.get((g, e), 0) + 1
+        expect[(g, t)] = (t, seen[(g, e)])
+    assert len(out) == len(rows)
+    assert all((r.rn, r.ern) == expect[(r.g, r.t)] for r in out)
+    with pytest.raises(ValueError):
+        O.with_group_prefix(df, ["g"], ["t"], sub_groups={"x": ["e"]})
