@@ -274,7 +274,7 @@ def q_eol_marker(spark, sf):
 
 
 def q_train_windows(spark, sf):
-    t = Q.sequence_tokens(_seqs(spark, sf))
+    t = _seqs(spark, sf).select("id", Q.sequence_token_array("seq").alias("tokens"))
     w = Q.token_windows(t.select("id", "tokens"), "tokens", 1000, 100)
     return w.select(F.col("id").alias("doc_id"), "window_index", "window_start",
                     F.size("window").alias("window_len"),
@@ -283,7 +283,7 @@ def q_train_windows(spark, sf):
 
 
 def q_window_counts(spark, sf):
-    t = Q.sequence_tokens(_seqs(spark, sf))
+    t = _seqs(spark, sf).select("id", Q.sequence_token_array("seq").alias("tokens"))
     return t.select(F.col("id").alias("doc_id"), Q.window_count(F.size("tokens"), 1000, 100).alias("windows"))
 
 
@@ -299,20 +299,20 @@ def q_padded_windows(spark, sf):
 
 
 def q_vocab_encode(spark, sf):
-    t = Q.sequence_tokens(_seqs(spark, sf)).select("id", "tokens")
+    t = _seqs(spark, sf).select("id", Q.sequence_token_array("seq").alias("tokens"))
     return B.build_vocab(t)
 
 
 def q_validation_features(spark, sf):
     t = _predictions(spark, sf).select("example_id", "leftContext", F.col("gold").alias("groundTruth"))
-    vocab = B.build_vocab(Q.sequence_tokens(_seqs(spark, sf)).select("id", "tokens"))
+    vocab = B.build_vocab(_seqs(spark, sf).select("id", Q.sequence_token_array("seq").alias("tokens")))
     v = Q.validation_features(t, vocab, 936)
     return v.select(F.col("id").alias("example_id"), "n_real", F.size("ids").alias("n_ids"))
 
 
 def q_truncated_features(spark, sf):
     t = _predictions(spark, sf).select("example_id", F.col("leftContext").alias("source"))
-    vocab = B.build_vocab(Q.sequence_tokens(_seqs(spark, sf)).select("id", "tokens"))
+    vocab = B.build_vocab(_seqs(spark, sf).select("id", Q.sequence_token_array("seq").alias("tokens")))
     v = Q.truncated_features(t, vocab, 936, 64, "test", "example_id", "source")
     return v.select(F.col("id").alias("example_id"), "n_real")
 

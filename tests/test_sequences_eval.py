@@ -151,3 +151,12 @@ def test_group_prefix_sub_groups(spark):
     assert all((r.rn, r.ern) == expect[(r.g, r.t)] for r in out)
     with pytest.raises(ValueError):
         O.with_group_prefix(df, ["g"], ["t"], sub_groups={"x": ["e"]})
+
+
+def test_sequence_token_array_matches_normalised_path(spark):
+    from corpusmill.functions.text import drop_first_token
+    cases = ["<s> a  b </s>  </s>", "  <s>\tx=1;\n y </s>", "<s>", "", "one", "<s>foo bar\t\tbaz </s>"]
+    df = spark.createDataFrame([(c,) for c in cases], "seq string")
+    rows = df.select(Q.sequence_token_array("seq").alias("a"),
+                     Q.seq_tokens(drop_first_token("seq")).alias("b")).collect()
+    assert all(r.a == r.b for r in rows)
