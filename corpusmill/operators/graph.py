@@ -7,12 +7,14 @@ reliable checkpoint and ends with one count.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.operators.neardup import salted_join_sides
-from corpusmill.session import reliable_checkpoint
+from corpusmill.session import release, reliable_checkpoint
 
 # Fixed bound: a label shared by more nodes than this is salted in the
 # pointer-jumping join.
@@ -26,41 +28,121 @@ def symmetrise(pairs: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:
     return fwd.unionByName(bwd).where(F.col("src") != F.col("dst")).distinct()
 
 
+# Fixed bound: once at most so many edges are left, one task settles them.
+LOCAL_EDGES = 200_000
+
+
+def _local(edges: DataFrame, solve, value: str) -> DataFrame:
+    """(node, value) of a bounded edge list, by ``solve(n, a, b)`` over node numbers in node order."""
+    node = edges.schema["src"].dataType.simpleString()
+    out = "label" if value == node else "is_leader"
+
+    def run(batches):
+        got = list(batches)
+        if not got:
+            return
+        pairs = pd.concat(got)
+        number, nodes = pd.factorize(pd.concat([pairs["src"], pairs["dst"]]), sort=True)
+        solved = solve(len(nodes), number[:len(pairs)], number[len(pairs):])
+        yield pd.DataFrame({"node": nodes, out: solved if out == "is_leader" else nodes[solved]})
+
+    return edges.select("src", "dst").coalesce(1).mapInPandas(run, f"node {node}, {out} {value}")
+
+
+def _smallest_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            return label
+        # hook the old roots too, so that a chain halves in each round
+        np.minimum.at(new, label, new.copy())
+        label = new[new]
+
+
+def _greedy_leaders(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Leaders in node order; ``a`` is the earlier end of each edge."""
+    order = np.argsort(b, kind="stable")
+    a, b = a[order], b[order]
+    leader = np.ones(n, bool)
+    for node, lo, hi in zip(*_groups(b)):
+        leader[node] = not leader[a[lo:hi]].any()
+    return leader
+
+
+def _groups(keys: np.ndarray):
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[starts], starts, np.append(starts[1:], len(keys))
+
+
+def _hot_sides(rows: DataFrame, target: DataFrame, key: str, row_id: str):
+    """Sides and keys of the join of ``rows`` with the unique keys of ``target``;
+    keys with more than HOT_LABEL_ROWS rows are salted."""
+    if rows.count() <= HOT_LABEL_ROWS:
+        return rows, target, [key]
+    hot = (rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > HOT_LABEL_ROWS)
+           .select(key, F.ceil(F.col("_rows") / F.lit(HOT_LABEL_ROWS)).cast("int").alias("_salts")))
+    return salted_join_sides(rows, target, [key], hot, row_id)
+
+
+def _follow(rows: DataFrame, key: str, labels: DataFrame, row_id: str) -> DataFrame:
+    """``rows`` with ``key`` replaced by its label (itself if it has none); hot keys are salted."""
+    target = labels.select(F.col("node").alias(key), F.col("label").alias("_label"))
+    big, small, keys = _hot_sides(rows, target, key, row_id)
+    return (big.join(small, keys, "left").withColumn(key, F.coalesce("_label", key))
+            .select(*rows.columns))
+
+
+def _compress(parent: DataFrame) -> DataFrame:
+    """Pointer jumping: (node, label) with label the root of node's tree."""
+    labels = parent
+    while True:
+        step = _follow(labels.withColumn("old", F.col("label")), "label", labels, "node")
+        step = reliable_checkpoint(step)
+        changed = step.where(F.col("label") != F.col("old")).limit(1).count()
+        release(labels)
+        labels = step.drop("old")
+        if changed == 0:
+            return labels
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
-                         max_rounds: int = 10_000) -> DataFrame:
+                         local_edges: int = LOCAL_EDGES) -> DataFrame:
     """GR2: (node, cluster_id) with cluster_id = smallest node of the component.
 
-    Min-label propagation over the edges followed by pointer jumping
-    (label <- label of label) each round; stops when no label changes.
-    Aggregations are partial before the shuffle; the label of a component
-    holding a large share of the nodes is salted in the pointer-jump join.
+    Each round hooks every node to its smallest neighbour if that is smaller,
+    compresses the trees by pointer jumping over the nodes alone, and
+    contracts the edges to the roots, so that later rounds shuffle only the
+    edges between trees.  Nodes that vanish in a round are labelled at the end,
+    last round first.  Once at most ``local_edges`` edges are left one task
+    settles them.  Nodes without an edge are not returned.
     """
-    e = symmetrise(edges, src, dst)
-    e = reliable_checkpoint(e)
-    labels = (e.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("label"))
-              .withColumnRenamed("src", "node"))
-    labels = reliable_checkpoint(labels)
-    for _ in range(max_rounds):
-        nb = (e.join(labels, e["src"] == labels["node"])
-              .groupBy(e["dst"].alias("node")).agg(F.min("label").alias("nb_label")))
-        step = (labels.join(nb, "node", "left")
-                .select("node", F.col("label").alias("old"),
-                        F.least("label", F.coalesce("nb_label", "label")).alias("label")))
-        parent = step.select(F.col("node").alias("label"), F.col("label").alias("plabel"))
-        # a large component makes its label a hot join key: salt it
-        counts = step.groupBy("label").agg(F.count(F.lit(1)).alias("_rows"))
-        hot = (counts.where(F.col("_rows") > HOT_LABEL_ROWS)
-               .select("label", F.ceil(F.col("_rows") / F.lit(HOT_LABEL_ROWS)).cast("int").alias("_salts")))
-        big, small, keys = salted_join_sides(step, parent, ["label"], hot, "node")
-        jumped = (big.join(small, keys, "left")
-                  .select("node", "old", F.least("label", F.coalesce("plabel", "label")).alias("label")))
-        # one reliable checkpoint per round; the change test reads it back
-        jumped = reliable_checkpoint(jumped)
-        changed = jumped.where(F.col("label") != F.col("old")).limit(1).count()
-        labels = jumped.drop("old")
-        if changed == 0:
-            return labels.withColumnRenamed("label", "cluster_id")
-    raise RuntimeError("connected components did not converge")
+    e = reliable_checkpoint(symmetrise(edges, src, dst))
+    steps: list[DataFrame] = []
+    while left := e.count():
+        if left <= local_edges:
+            last = reliable_checkpoint(_local(e, _smallest_reachable, e.schema["src"].dataType.simpleString()))
+            steps.append(last.where(F.col("node") != F.col("label")))
+            break
+        parent = reliable_checkpoint(
+            e.groupBy("src").agg(F.min("dst").alias("near"))
+            .select(F.col("src").alias("node"), F.least("src", "near").alias("label")))
+        roots = _compress(parent)
+        steps.append(roots.where(F.col("node") != F.col("label")))
+        moved = _follow(_follow(e, "src", roots, "dst"), "dst", roots, "src")
+        contracted = reliable_checkpoint(moved.where(F.col("src") != F.col("dst")).distinct())
+        release(e)
+        e = contracted
+    if not steps:
+        return e.select(F.col("src").alias("node"), F.col("dst").alias("cluster_id"))
+    labels = steps.pop()
+    for step in reversed(steps):
+        labels = reliable_checkpoint(labels.unionByName(_follow(step, "label", labels, "node")))
+    roots = labels.select(F.col("label").alias("node")).distinct().withColumn("label", F.col("node"))
+    return labels.unionByName(roots).withColumnRenamed("label", "cluster_id")
 
 
 # Fixed bound on members per emitted list; larger clusters are split in parts.
@@ -93,44 +175,93 @@ def cluster_sizes(components: DataFrame) -> DataFrame:
 
 
 def leader_status(edges: DataFrame, src: str = "src", dst: str = "dst",
-                  max_rounds: int = 100_000) -> DataFrame:
+                  local_edges: int = LOCAL_EDGES) -> DataFrame:
     """JN5: greedy assignment in id order, settled in rounds.
 
     Sequential rule: scanning files by id, a file not yet marked becomes a
     leader and marks every similar file.  Equivalent round form: a node is a
     duplicate as soon as some earlier neighbour is a leader, and a leader
     once all earlier neighbours are duplicates.  Output (node, is_leader).
+
+    Only undecided nodes and the edges that can still decide them stay in the
+    next round.  A node with exactly one undecided earlier neighbour is that
+    neighbour's opposite, so such runs are shortened by jumping along them
+    with a parity until their head is met: a chain takes a logarithmic number
+    of jumps, not a round for each link.  A graph of at most ``local_edges``
+    edges is settled by one task.
     """
-    e = symmetrise(edges, src, dst).where(F.col("src") < F.col("dst"))  # earlier -> later
-    e = reliable_checkpoint(e)
+    e = reliable_checkpoint(symmetrise(edges, src, dst).where(F.col("src") < F.col("dst")))
+    if e.count() <= local_edges:
+        return reliable_checkpoint(_local(e, _greedy_leaders, "boolean"))
     nodes = (e.select(F.col("src").alias("node")).unionByName(e.select(F.col("dst").alias("node")))
              .distinct())
-    has_earlier = e.select(F.col("dst").alias("node")).distinct().withColumn("x", F.lit(1))
-    status = (nodes.join(has_earlier, "node", "left").where(F.col("x").isNull())
-              .select("node", F.lit(True).alias("is_leader")))
-    status = reliable_checkpoint(status)
-    total = nodes.count()
-    decided = status.count()
-    rounds = 0
-    while decided < total:
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError("leader assignment did not converge")
-        per_node = (e.join(status.withColumnRenamed("node", "src"), "src", "left")
-                    .groupBy(F.col("dst").alias("node"))
-                    .agg(F.max(F.coalesce(F.col("is_leader").cast("int"), F.lit(0))).alias("any_leader"),
-                         F.sum(F.when(F.col("is_leader") == F.lit(False), 1).otherwise(0)).alias("dups"),
-                         F.count(F.lit(1)).alias("earlier")))
-        new = (per_node.join(status, "node", "left_anti")
-               .where((F.col("any_leader") == 1) | (F.col("dups") == F.col("earlier")))
-               .select("node", (F.col("any_leader") == 0).alias("is_leader")))
-        status = reliable_checkpoint(status.unionByName(new))
-        decided = status.count()
-    return status
+    firsts = nodes.join(e.select(F.col("dst").alias("node")), "node", "left_anti")
+    fresh = reliable_checkpoint(firsts.select("node", F.lit(True).alias("is_leader")))
+    decided = [fresh]
+    live = e
+    while True:
+        # edges from decided nodes: a leader settles its later neighbours, a duplicate drops out
+        marked = _with_status(live, fresh)
+        settled = (marked.where(F.col("is_leader")).select(F.col("dst").alias("node")).distinct()
+                   .withColumn("is_leader", F.lit(False)))
+        rest = (marked.where(F.col("is_leader").isNull()).select("src", "dst")
+                .join(settled.select(F.col("node").alias("dst")), "dst", "left_anti"))
+        freed = (marked.where(~F.coalesce("is_leader", F.lit(False))).select(F.col("dst").alias("node")).distinct()
+                 .join(settled.select("node"), "node", "left_anti")
+                 .join(rest.select(F.col("dst").alias("node")), "node", "left_anti")
+                 .withColumn("is_leader", F.lit(True)))
+        step = reliable_checkpoint(settled.unionByName(freed))
+        rest = reliable_checkpoint(rest.select("src", "dst"))
+        if live is not e:
+            release(live)
+        live = rest
+        runs = reliable_checkpoint(_run_statuses(live, step))
+        more = reliable_checkpoint(runs.join(step.select("node"), "node", "left_anti"))
+        fresh = step.unionByName(more)
+        decided += [step, more]
+        left = live.count()
+        if left == 0:
+            break
+    out = decided[0]
+    for d in decided[1:]:
+        out = out.unionByName(d)
+    return reliable_checkpoint(out)
+
+
+def _with_status(edges: DataFrame, status: DataFrame) -> DataFrame:
+    """Edges with is_leader of their earlier end (null while undecided); hubs are salted."""
+    target = status.withColumnRenamed("node", "src")
+    big, small, keys = _hot_sides(edges, target, "src", "dst")
+    return big.join(small, keys, "left").select("src", "dst", "is_leader")
+
+
+def _run_statuses(edges: DataFrame, known: DataFrame) -> DataFrame:
+    """Statuses of nodes at the end of runs of single-neighbour nodes whose head is known.
+
+    A node with one undecided earlier neighbour is its opposite: follow
+    (head, parity) along such nodes by doubling."""
+    single = (edges.groupBy("dst").agg(F.count(F.lit(1)).alias("n"), F.min("src").alias("head"))
+              .where("n = 1").select(F.col("dst").alias("node"), "head", F.lit(1).alias("odd")))
+    jumps = reliable_checkpoint(single)
+    while True:
+        ahead = jumps.select(F.col("node").alias("head"), F.col("head").alias("head2"), F.col("odd").alias("odd2"))
+        big, small, keys = _hot_sides(jumps, ahead, "head", "node")
+        step = reliable_checkpoint(
+            big.join(small, keys, "left")
+            .select("node", F.coalesce("head2", "head").alias("head"),
+                    F.col("odd").bitwiseXOR(F.coalesce("odd2", F.lit(0))).alias("odd"),
+                    F.col("head2").isNotNull().alias("moved")))
+        moved = step.where("moved").limit(1).count()
+        release(jumps)
+        jumps = step.drop("moved")
+        if moved == 0:
+            break
+    heads = known.select(F.col("node").alias("head"), "is_leader")
+    return jumps.join(heads, "head").select("node", (F.col("is_leader") != (F.col("odd") == 1)).alias("is_leader"))
 
 
 def leader_pairs(edges: DataFrame, status: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """JN5/JN6: (leader, duplicate) -- each duplicate attaches to its smallest
+    """JN5/JN6: (leader, duplicate): each duplicate attaches to its smallest
     earlier leader neighbour."""
     e = symmetrise(edges, src, dst).where(F.col("src") < F.col("dst"))
     leaders = status.where("is_leader").select(F.col("node").alias("src"))

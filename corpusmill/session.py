@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,8 +52,9 @@ def adaptive_caching(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
-    Only when nothing is configured (local tests) a folder under /tmp is set.
+    On a cluster this is the shared folder named by ``spark.checkpoint.dir``;
+    a cluster without that setting is an error.  Only a local master gets a
+    folder under /tmp when nothing is configured.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,16 +65,43 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="corpusmill-ckpt-", dir="/tmp")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable (replicated-storage) checkpoint.
+    """Cut lineage: write the frame once to the shared checkpoint folder and read it back.
 
-    Survives executor loss, unlike ``localCheckpoint``.
+    A written table survives executor loss, unlike ``localCheckpoint``;
+    ``DataFrame.checkpoint`` would compute the last stage twice.  The files
+    go when the session ends or ``release`` is called.
     """
-    checkpoint_dir(df.sparkSession)
-    adaptive_caching(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    adaptive_caching(spark)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    fs, hadoop_path = _file(spark, path)
+    fs.deleteOnExit(hadoop_path)
+    back = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[back] = path
+    return back
+
+
+# Files behind the frames of ``reliable_checkpoint``.
+_WRITTEN: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _file(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a frame from ``reliable_checkpoint`` that nothing reads any more."""
+    path = _WRITTEN.pop(df, None)
+    if path:
+        fs, p = _file(df.sparkSession, path)
+        fs.delete(p, True)
