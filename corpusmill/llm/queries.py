@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import bpe, decontaminate, simhash, urlfilter
+from corpusmill.llm import bpe, decontaminate, quality, simhash, toxicity, urlfilter
 from corpusmill.llm.common import read_table
 
 
@@ -10,10 +10,18 @@ def op1_decontaminate(spark, sf_dir):
     return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality(spark, sf_dir):
+    return quality.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_simhash(spark, sf_dir):
     return simhash.report(read_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark, sf_dir):
+    return toxicity.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_url_filter(spark, sf_dir):
     return urlfilter.report(read_table(spark, sf_dir, "pages"))
 
@@ -22,6 +30,6 @@ def op10_bpe(spark, sf_dir):
     return bpe.report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_simhash, op8_url_filter, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_simhash, op5_toxicity, op8_url_filter, op10_bpe)}
 
 ORACLE_SQL = {"op1_decontaminate": decontaminate.ORACLE_SQL, "op8_url_filter": urlfilter.ORACLE_SQL}
