@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import bpe, decontaminate, quality, simhash, toxicity, urlfilter
+from corpusmill.llm import bpe, decontaminate, quality, rules, simhash, toxicity, urlfilter
 from corpusmill.llm.common import read_table
 
 
@@ -26,10 +26,14 @@ def op8_url_filter(spark, sf_dir):
     return urlfilter.report(read_table(spark, sf_dir, "pages"))
 
 
+def op9_quality_rules(spark, sf_dir):
+    return rules.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_bpe(spark, sf_dir):
     return bpe.report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_simhash, op5_toxicity, op8_url_filter, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_simhash, op5_toxicity, op8_url_filter, op9_quality_rules, op10_bpe)}
 
 ORACLE_SQL = {"op1_decontaminate": decontaminate.ORACLE_SQL, "op8_url_filter": urlfilter.ORACLE_SQL}
