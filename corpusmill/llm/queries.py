@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import bpe, decontaminate, pii, quality, rules, simhash, substrings, toxicity, urlfilter
+from corpusmill.llm import bpe, decontaminate, pii, quality, rules, simhash, substrings, tokencount, toxicity, urlfilter
 from corpusmill.llm.common import read_table
 
 
@@ -30,6 +30,10 @@ def op6_repeated_substrings(spark, sf_dir):
     return substrings.report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark, sf_dir):
+    return tokencount.report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark, sf_dir):
     return urlfilter.report(read_table(spark, sf_dir, "pages"))
 
@@ -42,6 +46,7 @@ def op10_bpe(spark, sf_dir):
     return bpe.report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_simhash, op4_pii, op5_toxicity, op6_repeated_substrings, op8_url_filter, op9_quality_rules, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_simhash, op4_pii, op5_toxicity, op6_repeated_substrings,
+                                    op7_token_counts, op8_url_filter, op9_quality_rules, op10_bpe)}
 
 ORACLE_SQL = {"op1_decontaminate": decontaminate.ORACLE_SQL, "op8_url_filter": urlfilter.ORACLE_SQL}
