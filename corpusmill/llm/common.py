@@ -87,6 +87,17 @@ def add_columns(df: DataFrame, inputs: list[str], outputs: str | T.StructType,
     return src.mapInArrow(body, schema)
 
 
+def boxed(df: DataFrame, **inputs: str) -> DataFrame:
+    """All columns of ``df`` in one struct column ``row``, and named inputs beside it: whatever
+    columns a table has, results added to it clash with none.  ``unboxed`` is the way back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                     *[F.col(f"`{c}`").alias(k) for k, c in inputs.items()])
+
+
+def unboxed(df: DataFrame) -> DataFrame:
+    return df.select("row.*")
+
+
 def crc_mod(column: str, n: int):
     """crc32 of the id as text, modulo ``n`` (null for a null id)."""
     return F.crc32(F.col(f"`{column}`").cast("string").cast("binary")) % n

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import add_columns, alnum_words, ranges, runs, sha256_hex
+from corpusmill.llm.common import add_columns, alnum_words, boxed, ranges, runs, unboxed
 
 WINDOW = 13
 #: A window's words are searched in blocks of so many benchmark words, one pass
@@ -286,9 +286,8 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that are not contaminated, unchanged."""
-    mark = "bench_contaminated"
-    out = decontaminate(docs, benchmark, text_col)
-    return out.where(~F.col(mark)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = decontaminate(boxed(docs, text=text_col), benchmark, keep=["row"])
+    return unboxed(out.where(~F.col("bench_contaminated")))
 
 
 ORACLE_SQL = f"""

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import add_columns, sha256_hex
+from corpusmill.llm.common import add_columns, boxed
 
 KINDS = ["email", "ip", "card", "phone"]
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
@@ -43,6 +43,8 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 ANCHOR = re.compile("[0-9@]+")
+# texts with such a run outside the base spans are no examples of texts without personal data
+DOUBTFUL = re.compile(r"[0-9][ ().0-9-]{7,}[0-9]")
 Span = tuple[int, int, int]  # start, kind, end
 
 
@@ -271,7 +273,7 @@ def examples(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             if kind == 3 and " " in text[a:b] and len(near) == 1:
                 bare = text[a:b].split(" ", 1)[1]
                 add(len(KINDS), text[lo:a] + bare + text[b:hi], [(a - lo, 3, a - lo + len(bare))])
-        if not spans:
+        if not spans and not DOUBTFUL.search(text):
             add(-1, text, [])
     return (np.array([r for k in sorted(ids) for r in ids[k]]).reshape(-1, T),
             np.array([r for k in sorted(tags) for r in tags[k]]).reshape(-1, T))
@@ -402,9 +404,9 @@ def report(docs: DataFrame) -> DataFrame:
 
 def mask(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with every span masked in the text, and n_chars (if there) brought up to date."""
-    out = find(docs.withColumnRenamed(text_col, "text_before"), train(docs, id_col, text_col), "text_before")
-    made = F.col("masked_text")
-    return out.select(*[made.alias(c) if c == text_col else
-                        F.when(F.col("spans") == "", F.col("n_chars")).otherwise(F.length(made)).cast(
-                            docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`")
-                        for c in docs.columns])
+    out = find(boxed(docs, text=text_col), train(docs, id_col, text_col), keep=["row"])
+    made, changed = F.col("masked_text"), F.col("spans") != ""
+    return out.select(*[
+        made.alias(c) if c == text_col else
+        F.when(changed, F.length(made)).otherwise(F.col("row.n_chars")).cast(docs.schema[c].dataType).alias(c)
+        if c == "n_chars" else F.col(f"row.`{c}`") for c in docs.columns])

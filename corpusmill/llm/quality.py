@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import crc_mod
+from corpusmill.llm.common import boxed, crc_mod, unboxed
 from corpusmill.llm.subword import Settings, fit, labelled_sample, learning_fold, score_texts
 
 SETTINGS = Settings(sample=(1000, 2000), buckets=1 << 16, dim=12, grams=(2, 4), epochs=3, rate=0.3, out_rate=0.1,
@@ -46,5 +46,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject, unchanged."""
-    scored = score(docs, train(docs, labels))
-    return scored.where(F.col("quality_score") >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = score(boxed(docs, text="text"), train(docs, labels), out="score", keep=["row"])
+    return unboxed(scored.where(F.col("score") >= threshold))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import add_columns
+from corpusmill.llm.common import add_columns, boxed, unboxed
 from corpusmill.operators.graph import connected_components
 from corpusmill.operators.neardup import salted_join_sides
 from corpusmill.session import reliable_checkpoint
@@ -157,23 +157,28 @@ def ball_links(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return hub.select("src", F.col("fp").alias("dst")).distinct()
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
+def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
             max_bits: int = MAX_BITS, small: int = SMALL_GROUP, section: int = SECTION,
-            large: int = LARGE_GROUP) -> DataFrame:
-    """(id, simhash, component_id): component_id is the smallest id of the class."""
-    prints = reliable_checkpoint(
-        fingerprints(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), text_col, n, keep=[id_col]))
+            large: int = LARGE_GROUP) -> tuple[DataFrame, DataFrame]:
+    """Rows as (id, simhash), and the distinct fingerprints as (fp, rows, least, label):
+    how many rows have it, their smallest id, and the class."""
+    prints = reliable_checkpoint(fingerprints(
+        docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t")), "t", n, keep=["id"]))
     distinct = reliable_checkpoint(
-        prints.groupBy(F.col("simhash").alias("fp")).agg(F.min(id_col).alias("least"), F.count(F.lit(1)).alias("rows")))
-    edges = links(distinct.select("fp"), max_bits, small, section, large)
-    labels = connected_components(edges)
+        prints.groupBy(F.col("simhash").alias("fp")).agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")))
+    labels = connected_components(links(distinct.select("fp"), max_bits, small, section, large))
     named = distinct.join(labels, distinct["fp"] == labels["node"], "left").select(
         "fp", "rows", "least", F.coalesce("cluster_id", "fp").alias("label"))
-    named = reliable_checkpoint(named)
+    return prints, reliable_checkpoint(named)
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """(id, simhash, component_id): component_id is the smallest id of the class."""
+    prints, named = members(docs, id_col, text_col, **settings)
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of = attach(named.drop("rows", "least"), "label", named, least, "fp").select("fp", "component_id")
-    return (attach(prints, "simhash", named, of.withColumnRenamed("fp", "simhash"), id_col)
-            .select(F.col(f"`{id_col}`"), "simhash", "component_id"))
+    of = attach(named.select("fp", "label"), "label", named, least, "fp").select(
+        F.col("fp").alias("simhash"), "component_id")
+    return attach(prints, "simhash", named, of, "id").select(F.col("id").alias(id_col), "simhash", "component_id")
 
 
 def attach(rows: DataFrame, key: str, named: DataFrame, target: DataFrame, row_id: str) -> DataFrame:
@@ -193,15 +198,17 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each class: the one with the class's smallest id, unchanged.
-
-    Of repeated rows with that id one stays; rows with a null id stay only if
-    their class has no other (one of them).
-    """
-    member = classes(docs, id_col, text_col).select(F.col(id_col).alias("id"), "component_id", "simhash")
-    of = member.where(F.col("id").eqNullSafe(F.col("component_id"))).select("id", "simhash").distinct()
-    # classes without an id keep one row for each fingerprint
-    kept = fingerprints(docs, text_col, out="kept_simhash")
-    same = kept.join(of, (F.col(f"`{id_col}`").eqNullSafe(F.col("id"))) & (F.col("kept_simhash") == F.col("simhash")),
-                     "left_semi")
-    return same.select(*[F.col(f"`{c}`") for c in docs.columns]).dropDuplicates([id_col])
+    """One document of each class, unchanged: one row of the class's smallest id, or of a null
+    id if the class has no other."""
+    prints, named = members(docs, id_col, text_col)
+    label = named.select(F.col("fp").alias("simhash"), "label")
+    # of each class the smallest id, nulls last, and the smallest of its fingerprints
+    first = (attach(prints, "simhash", named, label, "id").groupBy("label")
+             .agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "simhash")).alias("first"))
+             .select("first.*"))
+    keys = ["simhash", "no_id", "id_text"]
+    id_text = F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id_text")
+    first = first.select("simhash", "no_id", id_text)
+    rows = fingerprints(boxed(docs, id=id_col, t=text_col), "t", keep=["row", "id"])
+    rows = rows.select("row", "simhash", F.col("id").isNull().alias("no_id"), id_text)
+    return unboxed(rows.join(first, keys, "left_semi").dropDuplicates(keys))

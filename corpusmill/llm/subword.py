@@ -53,12 +53,10 @@ class Settings:
 
 def word_features(word: str, s: Settings) -> list[int]:
     """Buckets of the word and of its n-grams; bucket 0 is the repeat mark."""
-    marked = f"<{word}>".encode()
-    lo, hi = s.grams
-    out = [zlib.crc32(marked) % (s.buckets - 1) + 1]
-    for n in range(lo, hi + 1):
-        out += [zlib.crc32(marked[i:i + n], n) % (s.buckets - 1) + 1 for i in range(len(marked) - n + 1)]
-    return out
+    marked, crc, most = f"<{word}>".encode(), zlib.crc32, s.buckets - 1
+    size = len(marked)
+    return [crc(marked) % most + 1] + [crc(marked[i:i + n], n) % most + 1 for n in range(s.grams[0], s.grams[1] + 1)
+                                       for i in range(size - n + 1)]
 
 
 def words_of(text: str | None, s: Settings) -> list[str]:
@@ -164,19 +162,24 @@ class Model:
 
 
 class Scorer(dict):
-    """Word -> (sum of its features' logits) + (their number)j."""
+    """Word -> (sum of its features' logits) + (their number)j; the words met last are kept,
+    in two generations."""
 
     def __init__(self, compact: bytes, settings: Settings):
         super().__init__()
-        self.gap = np.frombuffer(compact, "<f4").astype(float)
-        self.s, self.bias, self.same = settings, float(self.gap[-1]), complex(self.gap[0], 1)
+        self.gap = np.frombuffer(compact, "<f4").tolist()
+        self.s, self.bias, self.same = settings, self.gap[-1], complex(self.gap[0], 1)
+        self.old: dict[str, complex] = {}
 
     def __missing__(self, word: str) -> complex:
-        f = word_features(word, self.s)
-        value = complex(float(self.gap[f].sum()), len(f))
-        if len(self) >= KEPT_WORDS:
-            self.clear()
+        value = self.old.get(word)
+        if value is None:
+            f = word_features(word, self.s)
+            value = complex(sum(map(self.gap.__getitem__, f)), len(f))
         if len(word) <= 64:
+            if len(self) >= KEPT_WORDS:
+                self.old = dict(self)
+                self.clear()
             self[word] = value
         return value
 
