@@ -52,7 +52,7 @@ def test_decontamination(spark, block_words):
     texts = list(EDGE_TEXTS)
     for i in range(40):
         t = text(rng.randrange(0, 120))
-        texts.append((100 + i, t + " " + rng.choice(bench)[1][:80] if i % 2 and bench[i % 6][1] else t))
+        texts.append((100 + i, t + " " + (rng.choice(bench)[1] or "")[:80] if i % 2 else t))
     b = spark.createDataFrame(bench, "item_id long, text string")
     out = decontaminate.decontaminate(docs(spark, texts), b, block_words=block_words)
     got = [(r.bench_words, r.bench_hits, len(r.bench_items),
