@@ -11,7 +11,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusmill.operators.neardup import salted_join_sides
 from corpusmill.session import release, reliable_checkpoint
@@ -145,28 +144,24 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     return labels.unionByName(roots).withColumnRenamed("label", "cluster_id")
 
 
-# Fixed bound on members per emitted list; larger clusters are split in parts.
-MAX_LIST_MEMBERS = 100_000
+def cluster_members(components: DataFrame, node: str = "node") -> DataFrame:
+    """GR3: the clusters as a long table (cluster_id, size, member), whatever their size."""
+    sizes = components.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
+    big, small, keys = _hot_sides(components, sizes, "cluster_id", node)
+    return big.join(small, keys).select("cluster_id", "size", F.col(node).alias("member"))
 
 
-def cluster_lists(components: DataFrame, node: str = "node",
-                  max_members: int = MAX_LIST_MEMBERS) -> DataFrame:
-    """GR3: (cluster_id, part, size, members) with sorted member lists.
+def cluster_lists(components: DataFrame, node: str = "node", max_members: int = 100_000) -> DataFrame:
+    """GR3: (cluster_id, size, members) with sorted member lists, for clusters of bounded size.
 
-    A cluster of more than ``max_members`` nodes is emitted as
-    ceil(size / max_members) parts (part = node mod parts for integral ids,
-    a hash otherwise), so no list grows with the largest cluster; smaller
-    clusters have one part (0).
+    A list is one value in one task, so a cluster of more than ``max_members``
+    nodes is an error here, never split or cut; ``cluster_members`` has no bound.
     """
-    sizes = components.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
-    parts = F.ceil(F.col("size") / F.lit(max_members)).cast("long")
-    key = F.col(node)
-    if not isinstance(components.schema[node].dataType, (T.LongType, T.IntegerType, T.ShortType)):
-        key = F.xxhash64(key)
-    tagged = (components.join(sizes, "cluster_id")
-              .withColumn("part", F.pmod(key, parts).cast("long")))
-    return (tagged.groupBy("cluster_id", "part")
-            .agg(F.first("size").alias("size"), F.sort_array(F.collect_list(node)).alias("members")))
+    members = cluster_members(components, node)
+    bounded = F.when(F.col("size") <= max_members, F.col("member")).otherwise(
+        F.raise_error(F.lit(f"a cluster has more than {max_members} members; use cluster_members")))
+    return (members.select("cluster_id", "size", bounded.alias("member")).groupBy("cluster_id")
+            .agg(F.first("size").alias("size"), F.sort_array(F.collect_list("member")).alias("members")))
 
 
 def cluster_sizes(components: DataFrame) -> DataFrame:

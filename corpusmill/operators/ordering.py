@@ -56,7 +56,8 @@ def drop_rows(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
     """SRT3: skip the first n rows of an explicit order."""
     if n < 0:
         raise ValueError("n must be >= 0")
-    return df.orderBy(*order).offset(n)
+    index = "__dropped_index"
+    return with_row_index(df, order, index).where(F.col(index) >= n).drop(index)
 
 
 def top_n(df: DataFrame, n: int, order: list[Column]) -> DataFrame:

@@ -1,19 +1,10 @@
-"""Tokenisation jobs (TOK1-TOK5).
-
-TOK1 is fully native (``regexp_extract_all``); TOK2 wraps the stdlib Python
-tokenizer in ``mapInPandas`` because no built-in can express it.
-"""
+"""Tokenisation jobs (TOK1, TOK3-TOK5) on the language-neutral lexer, all native
+(``regexp_extract_all``)."""
 
 from __future__ import annotations
 
-import io
-import tokenize as _pytokenize
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed value: the language-neutral code lexer pattern (identifiers, runs of
 # digits, any single other non-space character).
@@ -38,60 +29,9 @@ def tokenize_regex(files: DataFrame, content_col: str = "content",
     return files.withColumn(tokens_col, toks)
 
 
-# --- TOK2 / TOK3 / TOK4: stdlib Python tokenizer -----------------------------
-
-PY_TOKEN_SCHEMA = T.StructType([
-    T.StructField("tokens", T.ArrayType(T.StringType())),
-    T.StructField("token_types", T.ArrayType(T.IntegerType())),
-    T.StructField("error", T.StringType()),
-])
-
-
-def _python_tokens(text: str | None):
-    """Every stdlib token of one file: (values, types, error)."""
-    if text is None:
-        return None, None, "null content"
-    try:
-        values, types = [], []
-        reader = io.BytesIO(text.encode("utf-8")).readline
-        for tok in _pytokenize.tokenize(reader):
-            values.append(tok.string)
-            types.append(int(tok.type))
-        return values, types, None
-    except Exception as exc:  # any failure marks the file invalid
-        return None, None, f"{type(exc).__name__}: {exc}"
-
-
-def tokenize_python(files: DataFrame, id_col: str = "filename",
-                    content_col: str = "content", only_identifiers: bool = False) -> DataFrame:
-    """TOK2/TOK3/TOK4: stdlib tokens per file, with a validity column.
-
-    Output: ``id_col, tokens array<string>, valid boolean, error string``.
-    Invalid files keep a null ``tokens`` and the error text (quarantine).
-    ``only_identifiers`` keeps NAME and STRING tokens (keywords are NAMEs).
-    """
-    keep = {_pytokenize.NAME, _pytokenize.STRING}
-    out_schema = T.StructType([
-        files.schema[id_col],
-        T.StructField("tokens", T.ArrayType(T.StringType())),
-        T.StructField("valid", T.BooleanType()),
-        T.StructField("error", T.StringType()),
-    ])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            toks, valid, errs = [], [], []
-            for text in pdf[content_col]:
-                values, types, err = _python_tokens(text)
-                if values is not None and only_identifiers:
-                    values = [v for v, t in zip(values, types) if t in keep]
-                toks.append(values)
-                valid.append(err is None)
-                errs.append(err)
-            yield pd.DataFrame({id_col: pdf[id_col], "tokens": toks,
-                                "valid": valid, "error": errs})
-
-    return files.select(id_col, content_col).mapInPandas(run, out_schema)
+def mark_valid(tokenized: DataFrame, tokens_col: str = "tokens") -> DataFrame:
+    """TOK4: a file without any token (null or empty content) is invalid."""
+    return tokenized.withColumn("valid", F.coalesce(F.size(tokens_col) > 0, F.lit(False)))
 
 
 def split_valid_invalid(tokenized: DataFrame) -> tuple[DataFrame, DataFrame]:

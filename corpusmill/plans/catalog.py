@@ -78,15 +78,8 @@ def q_only_identifiers(spark, sf):
     return t.select("doc_id", F.size("tokens").alias("n_identifiers"))
 
 
-def q_tokenize_python(spark, sf):
-    f = S.files(spark, sf)
-    t = TOK.tokenize_python(f.select("doc_id", "content"), "doc_id", "content")
-    return t.select("doc_id", "valid", F.size("tokens").alias("n_tokens"))
-
-
 def q_tokenize_validity(spark, sf):
-    f = S.files(spark, sf)
-    return TOK.validity_counts(TOK.tokenize_python(f.select("doc_id", "content"), "doc_id", "content"))
+    return TOK.validity_counts(TOK.mark_valid(TOK.tokenize_regex(S.files(spark, sf))))
 
 
 def q_batch_assignment(spark, sf):
@@ -154,9 +147,7 @@ def q_clone_clusters(spark, sf):
 
 
 def q_cluster_lists(spark, sf):
-    c = G.cluster_lists(_components(spark, sf))
-    return c.select("cluster_id", "part", "size",
-                    F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
+    return G.cluster_members(_components(spark, sf))
 
 
 def q_cluster_sizes(spark, sf):
@@ -218,10 +209,9 @@ def q_nonblank_line_positions(spark, sf):
 
 def q_candidate_starts(spark, sf):
     f = S.files(spark, sf)
-    nb = TK.nonblank_line_indices("content")
-    first = f.where(F.size(nb) > 0).select("doc_id", F.element_at(X.split_lines("content"), F.get(nb, 0) + 1).alias("line"))
+    lines = f.select("doc_id", F.posexplode(X.split_lines("content")).alias("line_no", "line"))
     st = TK.candidate_starts("line")
-    return first.select("doc_id", F.size(st).alias("n_starts"), F.get(st, 0).alias("first_start"),
+    return lines.where(F.size(st) > 0).select("doc_id", "line_no", F.size(st).alias("n_starts"), F.get(st, 0).alias("first_start"),
                         F.get(st, F.size(st) - 1).alias("last_start"))
 
 
@@ -291,11 +281,16 @@ def _train_features(spark, sf):
     return Q.train_features(_seqs(spark, sf), None, 1000, 100)
 
 
+def _digest(ids):
+    """All ids of a row, as a digest: a wrong lookup changes it."""
+    return F.md5(F.array_join(F.col(ids).cast("array<string>"), ",")).alias("ids_md5")
+
+
 def q_padded_windows(spark, sf):
     tf = _train_features(spark, sf)
     return tf.select(F.col("id").alias("doc_id"), "window_index", "n_real",
                      F.size("ids").alias("n_ids"), X.non_pad_length("ids", Q.PAD_ID).alias("non_pad"),
-                     F.size(X.cut_at_pad("ids", Q.PAD_ID)).alias("cut_len"))
+                     F.size(X.cut_at_pad("ids", Q.PAD_ID)).alias("cut_len"), _digest("ids"))
 
 
 def q_vocab_encode(spark, sf):
@@ -307,19 +302,21 @@ def q_validation_features(spark, sf):
     t = _predictions(spark, sf).select("example_id", "leftContext", F.col("gold").alias("groundTruth"))
     vocab = B.build_vocab(_seqs(spark, sf).select("id", Q.sequence_token_array("seq").alias("tokens")))
     v = Q.validation_features(t, vocab, 936)
-    return v.select(F.col("id").alias("example_id"), "n_real", F.size("ids").alias("n_ids"))
+    return v.select(F.col("id").alias("example_id"), "n_real", F.size("ids").alias("n_ids"), _digest("ids"),
+                    F.md5("groundTruth").alias("truth_md5"))
 
 
 def q_truncated_features(spark, sf):
     t = _predictions(spark, sf).select("example_id", F.col("leftContext").alias("source"))
     vocab = B.build_vocab(_seqs(spark, sf).select("id", Q.sequence_token_array("seq").alias("tokens")))
     v = Q.truncated_features(t, vocab, 936, 64, "test", "example_id", "source")
-    return v.select(F.col("id").alias("example_id"), "n_real")
+    return v.select(F.col("id").alias("example_id"), "n_real", _digest("ids"))
 
 
 def q_padding_stats(spark, sf):
     tf = _train_features(spark, sf)
-    batched = O.fixed_batches(tf, 8, [F.col("id"), F.col("window_index")])
+    # the ids themselves are not needed to number and measure the windows
+    batched = O.fixed_batches(tf.select("id", "window_index", "n_real"), 8, [F.col("id"), F.col("window_index")])
     return batched.groupBy("batch").agg(F.max("n_real").alias("max_len"), F.count(F.lit(1)).alias("rows"))
 
 
@@ -334,7 +331,7 @@ def q_cut_predictions(spark, sf):
 
 def q_normalise_literals(spark, sf):
     f = S.files(spark, sf)
-    code = F.concat(F.lit("<string:"), F.substring("content", 1, 12), F.lit("> = <NUM_LIT> + <STR_LIT> + <char_LIT:"),
+    code = F.concat(F.lit("<string:"), F.col("content"), F.lit("> = <NUM_LIT> + <STR_LIT> + <char_LIT:"),
                     F.col("doc_id").cast("string"), F.lit(">"))
     return f.select("doc_id", X.normalise_literals(code).alias("normalised"))
 
@@ -483,14 +480,12 @@ def q_tasks_roundtrip(spark, sf):
 
 
 def q_clusters_roundtrip(spark, sf):
-    """SNK3 -> SRC7: one JSON array of members per line."""
+    """SNK3 -> SRC7: one JSON object with cluster and member per line."""
     from corpusmill.sources import readers as R
     from corpusmill.sources import sinks as W
-    c = G.cluster_lists(_components(spark, sf))
     out = _io_dir(spark, "clusters")
-    W.write_clusters(c.select(F.col("members").cast("array<string>").alias("members")), out)
-    back = R.read_clusters(spark, out)
-    return back.select(F.size("members").alias("size"), F.array_join("members", ",").alias("members"))
+    W.write_clusters(G.cluster_members(_components(spark, sf)), out)
+    return R.read_clusters(spark, out)
 
 
 def q_sequences_roundtrip(spark, sf):

@@ -132,13 +132,27 @@ def _w(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
-VOCAB = SEQS + """,
-occ AS (SELECT doc_id, unnest(tokens) AS token, unnest(range(0, len(tokens))) AS pos FROM stok),
+OCC = """occ AS (SELECT doc_id, unnest(tokens) AS token, unnest(range(0, len(tokens))) AS pos FROM stok),
 firsts AS (SELECT token, min({'d': doc_id, 'p': pos}) AS fs FROM occ GROUP BY token)"""
 
+VOCAB = SEQS + ",\n" + OCC
+
+
+def dict_ids(rows: str) -> str:
+    """CTEs dict (token, tid) and coded (k, ids): ids of the token lists ``toks`` of ``rows`` by key ``k``."""
+    return f"""specials(token, tid) AS (VALUES ('<s>', 0), ('<pad>', 1), ('</s>', 2), ('<unk>', 3), ('<decoder-only>', 4)),
+dict AS (SELECT token, tid FROM specials UNION ALL
+         SELECT token, tid FROM (SELECT token, row_number() OVER (ORDER BY fs.d, fs.p) + 4 AS tid FROM firsts)
+         WHERE token NOT IN (SELECT token FROM specials)),
+coded AS (SELECT k, string_agg(CAST(coalesce(tid, 3) AS VARCHAR), ',' ORDER BY pos) AS ids
+          FROM (SELECT k, unnest(toks) AS token, unnest(range(0, len(toks))) AS pos FROM {rows}) LEFT JOIN dict USING (token)
+          GROUP BY k)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "tokenize_regex": _w(TOKS) + """SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n_tokens,
         CAST(len(list_distinct(tokens)) AS INTEGER) AS n_distinct, tokens[1] AS first_token, tokens[-1] AS last_token FROM toks""",
+    "tokenize_validity": _w(TOKS) + """SELECT count(*) AS total_files, count(*) FILTER (len(tokens) > 0) AS valid_files FROM toks""",
     "only_identifiers": f"""SELECT doc_id, CAST(len(list_filter(regexp_extract_all(text, '{P}'), lambda t: regexp_matches(t, '^[A-Za-z_]'))) AS INTEGER) AS n_identifiers FROM documents""",
     "batch_assignment": _w(FILES) + """SELECT filename, CAST((row_number() OVER (ORDER BY filename) - 1) % 8 + 1 AS INTEGER) AS batch FROM files""",
     "token_bag": _w(TOKS, BAG) + "SELECT doc_id, token, cnt FROM bag",
@@ -163,9 +177,8 @@ o AS (SELECT a.doc_id AS id1, count(*) AS ko, sum(least(a.cnt, c.cnt)) AS mo FRO
     "leader_pairs": _w(TOKS, BAG, PAIRS, LEADER) + "SELECT leader, duplicate FROM lp",
     "symmetric_edges": _w(TOKS, BAG, PAIRS) + "SELECT id1 AS src, id2 AS dst FROM pairs UNION SELECT id2, id1 FROM pairs",
     "clone_clusters": _w(TOKS, BAG, PAIRS, COMPONENTS) + "SELECT node, cluster_id FROM comp",
-    "cluster_lists": _w(TOKS, BAG, PAIRS, COMPONENTS) + """SELECT c.cluster_id, c.node % CAST(ceil(s.size / 100000) AS BIGINT) AS part,
-        any_value(s.size) AS size, string_agg(CAST(c.node AS VARCHAR), ',' ORDER BY c.node) AS members
-        FROM comp c JOIN sizes s USING (cluster_id) GROUP BY c.cluster_id, part""",
+    "cluster_lists": _w(TOKS, BAG, PAIRS, COMPONENTS) + """SELECT c.cluster_id, s.size, c.node AS member
+        FROM comp c JOIN sizes s USING (cluster_id)""",
     "cluster_sizes": _w(TOKS, BAG, PAIRS, COMPONENTS) + "SELECT cluster_id, size FROM sizes",
     "cluster_summary": _w(TOKS, BAG, PAIRS, COMPONENTS, """hl AS (SELECT list(size ORDER BY size) AS l, count(*) AS n FROM sizes),
 hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") + """
@@ -189,13 +202,13 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
         CAST(nb[1] AS INTEGER) AS first_nonblank
         FROM (SELECT doc_id, l, list_filter(range(0, len(l)), lambda i: regexp_matches(l[i + 1], '\\S')) AS nb
               FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))""",
-    "candidate_starts": """SELECT doc_id, CAST(len(st) AS INTEGER) AS n_starts, CAST(st[1] AS INTEGER) AS first_start,
+    "candidate_starts": """SELECT doc_id, line_no, CAST(len(st) AS INTEGER) AS n_starts, CAST(st[1] AS INTEGER) AS first_start,
         CAST(st[-1] AS INTEGER) AS last_start
-        FROM (SELECT doc_id, list_filter(range(0, len(cps)), lambda p: regexp_matches(cps[p + 1], '\\S')) AS st
-              FROM (SELECT doc_id, regexp_extract_all(l[nb[1] + 1], '.') AS cps
-                    FROM (SELECT doc_id, l, list_filter(range(0, len(l)), lambda i: regexp_matches(l[i + 1], '\\S')) AS nb
-                          FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))
-                    WHERE len(nb) > 0))""",
+        FROM (SELECT doc_id, line_no, list_filter(range(0, len(cps)), lambda p: regexp_matches(cps[p + 1], '\\S')) AS st
+              FROM (SELECT doc_id, line_no, regexp_extract_all(line, '.') AS cps
+                    FROM (SELECT doc_id, unnest(l) AS line, CAST(unnest(range(0, len(l))) AS INTEGER) AS line_no
+                          FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))))
+        WHERE len(st) > 0""",
     "sample_lines": _w(FILES) + """SELECT filename, CAST(c.i AS INTEGER) AS line FROM (
         SELECT filename, unnest(list_slice(list_sort(list_transform(nb, lambda i: {'r': md5('42:' || filename || ':' || CAST(i AS VARCHAR)), 'i': i})), 1, k)) AS c
         FROM (SELECT filename, nb, CASE WHEN len(nb) = 0 THEN 0 ELSE greatest(1, least(5, floor(0.2::DOUBLE * len(nb))))::INTEGER END AS k
@@ -219,16 +232,27 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
              ELSE tokens[least(len(tokens), window_start + 997)] END AS last_token
         FROM win""",
     "window_counts": _w(SEQS) + """SELECT doc_id, CAST(CASE WHEN len(tokens) < 997 THEN 1 ELSE (len(tokens) - 997) // 897 + 1 END AS BIGINT) AS windows FROM stok""",
-    "padded_windows": _w(WINDOWS) + """SELECT doc_id, CAST(window_index AS INTEGER) AS window_index,
+    "padded_windows": _w(WINDOWS, OCC, dict_ids("(SELECT (doc_id, window_index) AS k, tokens[window_start + 1:window_start + 997] AS toks FROM win)")) + """
+        SELECT doc_id, CAST(window_index AS INTEGER) AS window_index,
         CAST(3 + len(tokens[window_start + 1:window_start + 997]) AS INTEGER) AS n_real, 1000 AS n_ids,
         CAST(3 + len(tokens[window_start + 1:window_start + 997]) AS INTEGER) AS non_pad,
-        CAST(3 + len(tokens[window_start + 1:window_start + 997]) AS INTEGER) AS cut_len FROM win""",
+        CAST(3 + len(tokens[window_start + 1:window_start + 997]) AS INTEGER) AS cut_len,
+        md5('0,4,2' || coalesce(',' || ids, '') || repeat(',1', 997 - len(tokens[window_start + 1:window_start + 997]))) AS ids_md5
+        FROM win LEFT JOIN coded ON k = (doc_id, window_index)""",
     "vocab_encode": _w(VOCAB) + "SELECT token, row_number() OVER (ORDER BY fs.d, fs.p) - 1 AS token_id FROM firsts",
-    "validation_features": _w(FILES, PREDS) + f"""SELECT example_id, CAST(3 + least(933, len(list_filter(regexp_extract_all(
-            array_to_string(list_filter(string_split_regex(replace(leftContext, chr(10), ' </s> ') || ' </s>', '\\s+'), lambda x: x <> ''), ' '),
-            '{SP}'), lambda t: t <> 'Ġ'))) AS INTEGER) AS n_real, 936 AS n_ids FROM preds""",
-    "truncated_features": _w(FILES, PREDS) + f"""SELECT example_id, CAST(3 + least(933, len(list_filter(regexp_extract_all(leftContext, '{SP}'),
-            lambda t: t <> 'Ġ'))) AS INTEGER) AS n_real FROM preds""",
+    "validation_features": _w(SEQS, OCC, FILES, PREDS, f"""lasts AS (SELECT example_id AS k, gold, all_toks[greatest(len(all_toks) - 932, 1):] AS toks
+            FROM (SELECT example_id, gold, list_filter(regexp_extract_all(array_to_string(list_filter(string_split_regex(
+                replace(leftContext, chr(10), ' </s> ') || ' </s>', '\\s+'), lambda x: x <> ''), ' '), '{SP}'), lambda t: t <> 'Ġ') AS all_toks
+                FROM preds))""", dict_ids("lasts")) + """
+        SELECT lasts.k AS example_id, CAST(3 + len(toks) AS INTEGER) AS n_real, 936 AS n_ids,
+        md5('0,4,2' || coalesce(',' || ids, '') || repeat(',1', 933 - len(toks))) AS ids_md5, md5(gold) AS truth_md5
+        FROM lasts LEFT JOIN coded USING (k)""",
+    "truncated_features": _w(SEQS, OCC, FILES, PREDS, f"""lasts AS (SELECT example_id AS k, all_toks[greatest(len(all_toks) - 932, 1):] AS toks
+            FROM (SELECT example_id, list_filter(regexp_extract_all(leftContext, '{SP}'), lambda t: t <> 'Ġ') AS all_toks FROM preds))""",
+            dict_ids("lasts")) + """
+        SELECT lasts.k AS example_id, CAST(3 + len(toks) AS INTEGER) AS n_real,
+        md5('0,4,2' || coalesce(',' || ids, '') || repeat(',1', 933 - len(toks))) AS ids_md5
+        FROM lasts LEFT JOIN coded USING (k)""",
     "padding_stats": _w(WINDOWS) + """SELECT CAST((row_number() OVER (ORDER BY doc_id, window_index) - 1) // 8 AS BIGINT) AS batch,
         CAST(3 + len(tokens[window_start + 1:window_start + 997]) AS INTEGER) AS nr FROM win""",
     "cut_predictions": _w(FILES, PREDS) + """SELECT example_id, split_part(pred, '</s>', 1) AS cut_none,
@@ -237,7 +261,7 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
         FROM preds""",
     "normalise_literals": """SELECT doc_id, regexp_replace(
           replace(replace(replace(replace(replace(replace(
-            '<string:' || substring(text, 1, 12) || '> = <NUM_LIT> + <STR_LIT> + <char_LIT:' || CAST(doc_id AS VARCHAR) || '>',
+            '<string:' || text || '> = <NUM_LIT> + <STR_LIT> + <char_LIT:' || CAST(doc_id AS VARCHAR) || '>',
             '<string', '<STR_LIT'), '<number', '<NUM_LIT'), '<char', '<CHAR_LIT'), '<NUM_LIT>', '0'), '<STR_LIT>', ''), '<CHAR_LIT>', ''),
           '<(STR|NUM|CHAR)_LIT:(.*?)>', '\\2', 'gs') AS normalised FROM documents""",
     "exact_match": _w(FILES, PREDS) + """SELECT round(avg(CASE WHEN list_filter(string_split_regex(split_part(pred, '</s>', 1), '\\s+'), lambda x: x <> '')
@@ -279,9 +303,7 @@ ORACLE_SQL.update({
         CAST(len(list_distinct(t.tokens)) AS INTEGER) AS k FROM files f JOIN toks t USING (doc_id) WHERE len(t.tokens) >= 20""",
     "split_roundtrip": _w(FILES, SPLIT) + "SELECT set, repo_name, filename FROM split",
     "tasks_roundtrip": _w(FILES, TASKS) + """SELECT set, groundTruth, md5(leftContext) AS left_md5, md5(rightContext) AS right_md5 FROM tasks""",
-    "clusters_roundtrip": _w(TOKS, BAG, PAIRS, COMPONENTS) + """SELECT CAST(count(*) AS INTEGER) AS size,
-        string_agg(CAST(c.node AS VARCHAR), ',' ORDER BY c.node) AS members
-        FROM comp c JOIN sizes s USING (cluster_id) GROUP BY c.cluster_id, c.node % CAST(ceil(s.size / 100000) AS BIGINT)""",
+    "clusters_roundtrip": _w(TOKS, BAG, PAIRS, COMPONENTS) + "SELECT cluster_id, node AS member FROM comp",
     "sequences_roundtrip": _w(SEQS) + "SELECT md5(data) AS source_md5, CAST(length(data) AS INTEGER) AS source_len FROM stoks",
     "nonblank_lines": """SELECT value FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)
         WHERE regexp_matches(value, '\\S')""",

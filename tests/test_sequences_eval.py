@@ -130,11 +130,50 @@ def test_trailing_mean_halo_blocks(spark):
         assert out[s] == round(sum(w) / len(w), 4)
 
 
-def test_cluster_lists_parts(spark):
+def test_clusters_stay_whole(spark):
     from corpusmill.operators import graph as G
     comp = spark.createDataFrame([(n, 10) for n in range(10, 15)] + [(20, 20), (21, 20)], "node long, cluster_id long")
-    got = sorted((r.cluster_id, r.part, r.size, tuple(r.members)) for r in G.cluster_lists(comp, max_members=2).collect())
-    assert got == [(10, 0, 5, (12,)), (10, 1, 5, (10, 13)), (10, 2, 5, (11, 14)), (20, 0, 2, (20, 21))]
+    assert sorted(map(tuple, G.cluster_members(comp).collect())) == (
+        [(10, 5, n) for n in range(10, 15)] + [(20, 2, 20), (20, 2, 21)])
+    assert {r.cluster_id: r.members for r in G.cluster_lists(comp).collect()} == {10: list(range(10, 15)), 20: [20, 21]}
+    with pytest.raises(Exception, match="more than 2 members"):
+        G.cluster_lists(comp, max_members=2).collect()
+
+
+@pytest.mark.parametrize("local_edges", [200_000, 3])
+def test_graph_rounds(spark, local_edges, monkeypatch):
+    """Components and leaders of random graphs and a long chain, in few rounds, with all keys salted or none."""
+    from corpusmill.operators import graph as G
+    monkeypatch.setattr(G, "HOT_LABEL_ROWS", 20 if local_edges == 3 else 20_000)
+    rng = random.Random(11)
+    chain = [(i, i + 1) for i in range(200)]
+    edges = chain + [(300 + rng.randrange(60), 300 + rng.randrange(60)) for _ in range(70)]
+    hub = [(1000, 1001 + i) for i in range(40)]
+    edges += hub
+    near = {}
+    for a, b in edges:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    label, leader = {}, {}
+    for n in sorted(near):
+        leader[n] = not any(leader.get(m) for m in near[n] if m < n)
+        if n not in label:
+            todo = [n]
+            while todo:
+                x = todo.pop()
+                if x not in label:
+                    label[x] = n
+                    todo += near[x]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    writes = []
+    real = G.reliable_checkpoint
+    monkeypatch.setattr(G, "reliable_checkpoint", lambda f: (writes.append(1), real(f))[1])
+    got = {r.node: r.cluster_id for r in G.connected_components(df, local_edges=local_edges).collect()}
+    assert got == label and len(writes) < 60
+    writes.clear()
+    assert {r.node: r.is_leader for r in G.leader_status(df, local_edges=local_edges).collect()} == leader
+    assert len(writes) < 80
 
 
 def test_group_prefix_sub_groups(spark):

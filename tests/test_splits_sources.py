@@ -73,13 +73,17 @@ def test_split_and_tasks_roundtrip(spark, scratch):
 def test_clusters_roundtrip(spark, scratch):
     c = spark.createDataFrame([(1, ["a", "b"]), (2, ["c", "d", "e"])], "cluster_id long, members array<string>")
     out = os.path.join(scratch, "clusters")
-    W.write_clusters(c.coalesce(1).orderBy("cluster_id"), out)
-    got = sorted(r.members for r in R.read_clusters(spark, out).collect())
+    W.write_cluster_lists(c.coalesce(1).orderBy("cluster_id"), out)
+    got = sorted(r.members for r in R.read_cluster_lists(spark, out).collect())
     assert got == [["a", "b"], ["c", "d", "e"]]
+    long = spark.createDataFrame([(1, 2, "a"), (1, 2, "b"), (2, 1, "c")], "cluster_id long, size long, member string")
+    W.write_clusters(long, out + "-long")
+    back = R.read_clusters(spark, out + "-long", member_type="string")
+    assert sorted(map(tuple, back.collect())) == [(1, "a"), (1, "b"), (2, "c")]
     single = os.path.join(scratch, "clusters.json")
     with open(single, "w") as fh:
         json.dump([["x", "y"], ["z", "w"]], fh)
-    assert R.read_clusters(spark, single, single_document=True).count() == 2
+    assert R.read_cluster_lists(spark, single, single_document=True).count() == 2
 
 
 def test_code_files_and_inputs(spark, scratch):
@@ -89,8 +93,11 @@ def test_code_files_and_inputs(spark, scratch):
         with open(os.path.join(d, name), "w") as fh:
             fh.write(body)
     files = {r.filename: r.content for r in R.read_code_files(spark, d, ".py").collect()}
-    # Spark's file scan skips zero-length files (documented limitation)
-    assert files == {"a.py": "x = 1\n\n"}
+    assert files == {"a.py": "x = 1\n\n", "c.py": ""}
+    with open(os.path.join(d, "d e.py"), "wb") as fh:
+        fh.write(b"x = '\xff'\n")
+    files = {r.filename: r.content for r in R.read_code_files(spark, d, ".py").collect()}
+    assert files == {"a.py": "x = 1\n\n", "c.py": "", "d e.py": "x = '\ufffd'\n"}
     R.require_inputs(spark, [d])
     with pytest.raises(FileNotFoundError):
         R.require_inputs(spark, [os.path.join(d, "missing")])

@@ -82,15 +82,12 @@ def test_tasks_reconstruct_and_supplementary(spark):
         assert not line[t.start].isspace()
 
 
-def test_tokenize_python_validity(spark):
-    f = spark.createDataFrame([("a.py", "x = 1\n"), ("b.py", "x = '\n")], "filename string, content string")
-    t = TOK.tokenize_python(f).orderBy("filename").collect()
-    assert t[0].valid and t[0].tokens[0] == "utf-8" and "x" in t[0].tokens
-    assert not t[1].valid and t[1].tokens is None
-    counts = TOK.validity_counts(TOK.tokenize_python(f)).first()
-    assert (counts.total_files, counts.valid_files) == (2, 1)
-    ids = TOK.tokenize_python(f.limit(1), only_identifiers=True).first().tokens
-    assert ids == ["x"]
+def test_files_without_tokens_are_invalid(spark):
+    f = spark.createDataFrame([("a.py", "x = 1\n"), ("b.py", " \n"), ("c.py", None)], "filename string, content string")
+    marked = TOK.mark_valid(TOK.tokenize_regex(f))
+    assert [r.valid for r in marked.orderBy("filename").collect()] == [True, False, False]
+    counts = TOK.validity_counts(marked).first()
+    assert (counts.total_files, counts.valid_files) == (3, 1)
 
 
 def test_assign_batches_round_robin(spark):
@@ -104,7 +101,7 @@ def test_extension_null_line_and_quarantine(spark):
     assert [r.f for r in df.where(X.has_extension("f", ".py")).collect()] == ["a.py"]
     lines = spark.createDataFrame([("null",), ('{"x": 1}',), (" null",)], "v string")
     assert lines.where(~X.is_null_line("v")).count() == 2
-    f = spark.createDataFrame([("a.py", "x = 1\n"), ("b.py", "def (\n")], "filename string, content string")
-    ok, bad = TOK.split_valid_invalid(TOK.tokenize_python(f))
+    f = spark.createDataFrame([("a.py", "x = 1\n"), ("b.py", "")], "filename string, content string")
+    ok, bad = TOK.split_valid_invalid(TOK.mark_valid(TOK.tokenize_regex(f)))
     assert [r.filename for r in ok.collect()] == ["a.py"]
-    assert [r.filename for r in bad.collect()] == ["b.py"] and bad.first().error
+    assert [r.filename for r in bad.collect()] == ["b.py"]
