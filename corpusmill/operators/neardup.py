@@ -45,7 +45,11 @@ def signatures(docs: DataFrame, id_col: str = "id", tokens_col: str = "tokens",
     bags = token_bag(d, "id", "tokens").persist(StorageLevel.MEMORY_AND_DISK)
     # the order may include short documents: any global order is valid
     order = token_order(bags)
-    sig = (bags.join(order.select("token", "tid"), "token")
+    # a token may stand in nearly every document: its frequency is known, so salt it
+    hot = (order.where(F.col("df") > HOT_KEY_ROWS)
+           .select("token", F.ceil(F.col("df") / F.lit(HOT_KEY_ROWS)).cast("int").alias("_salts")))
+    big, small, keys = salted_join_sides(bags, order.select("token", "tid"), ["token"], hot, "id")
+    sig = (big.join(small, keys)
            .groupBy("id")
            .agg(F.sort_array(F.collect_list(F.struct("tid", "cnt"))).alias("entries"),
                 F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("k")))
@@ -258,6 +262,11 @@ class NearDuplicates:
         self.members = members
         self.reps = reps
 
+    def close(self) -> None:
+        """Release the caches behind the pairs, copies and distinct bags."""
+        for df in (self.rep_pairs, self.members, self.reps):
+            df.unpersist()
+
     def edges(self) -> DataFrame:
         """Compact edge list (src, dst) whose closure equals the full pair graph.
 
@@ -287,12 +296,31 @@ class NearDuplicates:
         return cross.unionByName(copies)
 
 
+def unique_ids(docs: DataFrame, id_col: str = "id", on_duplicate: str = "raise",
+               order_col: str | None = None) -> DataFrame:
+    """One row per id.  A repeated id is an error (``raise``), or its row with the largest
+    ``order_col`` stays (``last``); documents of one id are never merged."""
+    if on_duplicate == "raise":
+        again = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_col).take(1)
+        if again:
+            raise ValueError(f"id {again[0][0]!r} stands for more than one document; "
+                             "pass on_duplicate='last' and an order column")
+        return docs
+    if on_duplicate != "last" or order_col is None:
+        raise ValueError("on_duplicate is 'raise', or 'last' with an order column")
+    others = [c for c in docs.columns if c not in (id_col, order_col)]
+    return (docs.groupBy(id_col).agg(F.max_by(F.struct(order_col, *others), order_col).alias("_row"))
+            .select(id_col, "_row.*"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "id", tokens_col: str = "tokens",
                     key_threshold: float = 0.5, threshold: float = 0.5,
-                    minimum: int = MIN_TOKENS) -> NearDuplicates:
-    """JN1 in compact form."""
+                    minimum: int = MIN_TOKENS, on_duplicate: str = "raise",
+                    order_col: str | None = None) -> NearDuplicates:
+    """JN1 in compact form.  Ids must be unique, see ``unique_ids``."""
     if not (0.0 <= key_threshold <= 1.0 and 0.0 <= threshold <= 1.0):
         raise ValueError("thresholds must be within [0, 1]")
+    docs = unique_ids(docs, id_col, on_duplicate, order_col)
     sig = signatures(docs, id_col, tokens_col, minimum)
     reps, members = collapse_copies(sig)
     cands = candidate_pairs(reps, key_threshold, threshold)

@@ -197,3 +197,25 @@ def test_pairs_independent_of_partitioning(spark):
     a = {tuple(r) for r in N.near_duplicate_pairs(df.repartition(1)).collect()}
     b = {tuple(r) for r in N.near_duplicate_pairs(df.repartition(7, "id")).collect()}
     assert a == b and a
+
+
+def test_repeated_ids_never_merge(spark):
+    from corpusmill.operators import neardup as N
+
+    a, b = [f"a{i}" for i in range(30)], [f"b{i}" for i in range(30)]
+    docs = spark.createDataFrame([("x", 1, a), ("x", 2, b), ("y", 1, a), ("z", 1, b)], "id string, ver int, tokens array<string>")
+    with pytest.raises(ValueError, match="more than one document"):
+        N.near_duplicates(docs)
+    pairs = N.near_duplicates(docs, on_duplicate="last", order_col="ver").all_pairs().collect()
+    assert [(r.id1, r.id2) for r in pairs] == [("x", "z")]
+
+
+def test_hot_tokens_salted_alike(spark, monkeypatch):
+    from corpusmill.operators import neardup as N
+
+    rng = random.Random(8)
+    docs = [(i, [f"t{min(rng.randrange(30), rng.randrange(30))}" for _ in range(25)]) for i in range(60)]
+    df = spark.createDataFrame(docs, "id long, tokens array<string>")
+    want = sorted((r.id1, r.id2) for r in N.near_duplicate_pairs(df).collect())
+    monkeypatch.setattr(N, "HOT_KEY_ROWS", 5)
+    assert want and sorted((r.id1, r.id2) for r in N.near_duplicate_pairs(df).collect()) == want
