@@ -12,13 +12,11 @@ are handled as their operators say; extra columns are carried along.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusmill.llm import bpe, decontaminate, pii, quality, simhash
 from corpusmill.llm.common import read_table
-from corpusmill.session import checkpoint_dir
+from corpusmill.session import release, reliable_checkpoint
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +52,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; each result goes through a written table
-    in the shared checkpoint folder."""
+    """All stages over the documents of ``sf_dir``; each result is a Parquet table in the
+    shared checkpoint folder, deleted once the next one is written."""
     docs = read_table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
-        docs = spark.read.parquet(f"{folder}/{k}")
+    for _, stage in STAGES:
+        after = reliable_checkpoint(stage(spark, docs, sf_dir))
+        release(docs)
+        docs = after
     return docs
