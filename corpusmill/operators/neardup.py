@@ -144,8 +144,9 @@ def _salt_hot_keys(long_side: DataFrame, short_side: DataFrame, keys: list[str],
     return long_, short, k
 
 
-def hot_copy_groups(reps: DataFrame, key: str = "rep", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """(key, _salts) for copy groups with more than ``hot_rows`` members."""
+def hot_copy_groups(reps: DataFrame, key: str = "rep", hot_rows: int | None = None) -> DataFrame:
+    """(key, _salts) for copy groups with more than ``hot_rows`` (HOT_KEY_ROWS) members."""
+    hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
     return (reps.where(F.col("copies") > hot_rows)
             .select(key, F.ceil(F.col("copies") / F.lit(hot_rows)).cast("int").alias("_salts")))
 
@@ -284,13 +285,20 @@ class NearDuplicates:
         contributes g*(g-1)/2 rows here by definition.  Downstream operators
         use ``edges`` instead.
         """
-        m1 = self.members.select(F.col("rep").alias("r1"), F.col("id").alias("a"))
-        m2 = self.members.select(F.col("rep").alias("r2"), F.col("id").alias("b"))
-        cross = (self.rep_pairs.join(m1, F.col("r1") == F.col("id1"))
-                 .join(m2, F.col("r2") == F.col("id2"))
+        hot = hot_copy_groups(self.reps)
+
+        def with_copies(rows: DataFrame, key: str, name: str) -> DataFrame:
+            """Each row once for every copy of its representative ``key``; large copy groups are salted."""
+            copies = self.members.select(F.col("rep").alias(key), F.col("id").alias(name))
+            big, small, keys = salted_join_sides(copies, rows, [key], hot.withColumnRenamed("rep", key), name)
+            return big.join(small, keys).drop("_salt")
+
+        similar = self.rep_pairs.select("id1", "id2", "jaccard", "key_jaccard")
+        cross = (with_copies(with_copies(similar, "id1", "a"), "id2", "b")
                  .select(F.least("a", "b").alias("id1"), F.greatest("a", "b").alias("id2"),
                          "jaccard", "key_jaccard"))
-        copies = (m1.join(m2, (F.col("r1") == F.col("r2")) & (F.col("a") < F.col("b")))
+        members = self.members.select("rep", F.col("id").alias("a"))
+        copies = (with_copies(members, "rep", "b").where(F.col("a") < F.col("b"))
                   .select(F.col("a").alias("id1"), F.col("b").alias("id2"),
                           F.lit(1.0).alias("jaccard"), F.lit(1.0).alias("key_jaccard")))
         return cross.unionByName(copies)

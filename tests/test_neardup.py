@@ -215,7 +215,9 @@ def test_hot_tokens_salted_alike(spark, monkeypatch):
 
     rng = random.Random(8)
     docs = [(i, [f"t{min(rng.randrange(30), rng.randrange(30))}" for _ in range(25)]) for i in range(60)]
+    docs += [(100 + i, list(docs[i % 3][1])) for i in range(30)]  # copies
     df = spark.createDataFrame(docs, "id long, tokens array<string>")
     want = sorted((r.id1, r.id2) for r in N.near_duplicate_pairs(df).collect())
+    assert want == sorted(brute_pairs(dict(docs), .5, .5))
     monkeypatch.setattr(N, "HOT_KEY_ROWS", 5)
     assert want and sorted((r.id1, r.id2) for r in N.near_duplicate_pairs(df).collect()) == want
