@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import bpe, decontaminate, pii, quality, rules, simhash, substrings, tokencount, toxicity, urlfilter
+from corpusmill.llm import bpe, conversations, decontaminate, pii, quality, rules, simhash, substrings, tokencount, toxicity, urlfilter
 from corpusmill.llm.common import read_table
 
 
@@ -46,7 +46,11 @@ def op10_bpe(spark, sf_dir):
     return bpe.report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_repair(spark, sf_dir):
+    return conversations.report(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_simhash, op4_pii, op5_toxicity, op6_repeated_substrings,
-                                    op7_token_counts, op8_url_filter, op9_quality_rules, op10_bpe)}
+                                    op7_token_counts, op8_url_filter, op9_quality_rules, op10_bpe, op11_repair)}
 
 ORACLE_SQL = {"op1_decontaminate": decontaminate.ORACLE_SQL, "op8_url_filter": urlfilter.ORACLE_SQL}
