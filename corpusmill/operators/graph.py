@@ -95,8 +95,8 @@ def _follow(rows: DataFrame, key: str, labels: DataFrame, row_id: str) -> DataFr
             .select(*rows.columns))
 
 
-def _compress(parent: DataFrame) -> DataFrame:
-    """Pointer jumping: (node, label) with label the root of node's tree."""
+def tree_roots(parent: DataFrame) -> DataFrame:
+    """Pointer jumping: ``parent`` (node, label) with label the root of node's tree; hot labels are salted."""
     labels = parent
     while True:
         step = _follow(labels.withColumn("old", F.col("label")), "label", labels, "node")
@@ -129,7 +129,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
         parent = reliable_checkpoint(
             e.groupBy("src").agg(F.min("dst").alias("near"))
             .select(F.col("src").alias("node"), F.least("src", "near").alias("label")))
-        roots = _compress(parent)
+        roots = tree_roots(parent)
         steps.append(roots.where(F.col("node") != F.col("label")))
         moved = _follow(_follow(e, "src", roots, "dst"), "dst", roots, "src")
         contracted = reliable_checkpoint(moved.where(F.col("src") != F.col("dst")).distinct())
