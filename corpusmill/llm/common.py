@@ -98,6 +98,18 @@ def unboxed(df: DataFrame) -> DataFrame:
     return df.select("row.*")
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """What a Python worker keeps from task to task: the one object that was asked for last.
+    A worker serves stages of many operators, so each one's words and models go when another's are made."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def crc_mod(column: str, n: int):
     """crc32 of the id as text, modulo ``n`` (null for a null id)."""
     return F.crc32(F.col(f"`{column}`").cast("string").cast("binary")) % n

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import bpe, conversations, decontaminate, pii, quality, rules, simhash, spelling, substrings, tokencount, toxicity, urlfilter
+from corpusmill.llm import bpe, conversations, decontaminate, packing, pii, quality, rules, simhash, spelling, substrings, tokencount, toxicity, urlfilter
 from corpusmill.llm.common import read_table
 
 
@@ -50,12 +50,16 @@ def op11_repair(spark, sf_dir):
     return conversations.report(read_table(spark, sf_dir, "conversations"))
 
 
+def op12_packing(spark, sf_dir):
+    return packing.report(read_table(spark, sf_dir, "documents"))
+
+
 def op13_spelling(spark, sf_dir):
     return spelling.report(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_simhash, op4_pii, op5_toxicity, op6_repeated_substrings,
                                     op7_token_counts, op8_url_filter, op9_quality_rules, op10_bpe, op11_repair,
-                                    op13_spelling)}
+                                    op12_packing, op13_spelling)}
 
 ORACLE_SQL = {"op1_decontaminate": decontaminate.ORACLE_SQL, "op8_url_filter": urlfilter.ORACLE_SQL}
