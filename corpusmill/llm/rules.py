@@ -210,24 +210,27 @@ def verdict(rules: list[Rule]) -> Column:
     return out
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_col: str) -> list[dict]:
-    """Statistics and label of at most ``sample`` labelled documents that pass the base check, by a hash of the id."""
+def labelled_rows(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_col: str) -> DataFrame:
+    """Statistics and label of those of at most ``sample`` labelled documents, by a hash of the id, that pass the base
+    check.  Of contradictory labels the smaller one counts."""
     known = (labels.where(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("labelled_id")).agg(F.min("quality").alias("quality"))
              .orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(sample))
-    chosen = docs.join(F.broadcast(known), F.col(f"`{id_col}`") == F.col("labelled_id"))
-    found = (statistics(chosen.select(F.struct("labelled_id", "quality").alias("id"), F.col(f"`{text_col}`").alias("t")),
-                        "id", "t")
-             .where(~F.col("base_failed"))
+    # of an id's rows the least text counts, so that repeated rows cannot fill the driver; the aggregation also keeps
+    # the base check above the join, or the statistics of every text would be computed for this sample
+    chosen = (docs.select(F.col(f"`{id_col}`").alias("known_id"), F.col(f"`{text_col}`").alias("t"))
+              .join(F.broadcast(known), F.col("known_id") == F.col("labelled_id"))
+              .groupBy(F.struct("labelled_id", "quality").alias("id")).agg(F.min("t").alias("t")))
+    found = (statistics(chosen, "id", "t").where(~F.col("base_failed"))
              .select(F.col("id.labelled_id").alias("labelled_id"), (1 - F.col("id.quality")).alias("bad"), *STATISTICS)
-             .orderBy(F.xxhash64("labelled_id"), *STATISTICS).limit(sample))
-    return [r.asDict() for r in found.collect()]
+             .orderBy(F.xxhash64("labelled_id"), *STATISTICS))
+    return found
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           sample: int = SAMPLE) -> DataFrame:
     """Statistics of each text with rule (number of the rejecting rule or null) and kept."""
-    rules = learn(labelled_rows(docs, labels, sample, id_col, text_col))
+    rules = learn([r.asDict() for r in labelled_rows(docs, labels, sample, id_col, text_col).collect()])
     out = statistics(docs, id_col, text_col).withColumn("rule", verdict(rules))
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()).withColumnRenamed("id", id_col)
 

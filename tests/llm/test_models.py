@@ -176,6 +176,22 @@ def test_rules_run_no_python(spark, tables):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_rules_learn_from_the_sample_only(spark, tables):
+    plan = rules.labelled_rows(*tables, 100, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join Inner", 1)
+    assert "regexp_replace" in above and "regexp_replace" not in below and "transform" not in below
+
+
+@pytest.mark.parametrize("rows", [20_000])
+def test_repeated_labelled_ids_are_one_example(spark, rows):
+    table = spark.range(rows).selectExpr("1L AS doc_id", "concat('some words number ', id % 7, ' 4@5.com') AS text").unionAll(
+        spark.createDataFrame([(2, "other"), (3, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    sample = subword.labelled_sample(table, labels, "quality", lambda df: df["doc_id"] > 0, (10, 10)).collect()
+    assert sorted((r.id, r.y) for r in sample) == [(1, 1), (2, 0), (3, 0)]
+    assert len(rules.labelled_rows(table, labels, 10, "doc_id", "text").collect()) <= 3
+
+
 def test_learned_conjunction():
     rng = random.Random(7)
     rows = []
