@@ -23,13 +23,13 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from corpusmill.llm.common import add_columns, sha256_hex
+from corpusmill.llm.common import add_columns, kept, sha256_hex
 
 # Fixed value: the byte-level pre-tokenization pattern of the tokenizer file.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLANK_START = re.compile(r" (?=\S)")
 BLANK_RUN = re.compile(r" \s")
-CACHE_PIECES = 200_000
+CACHE_PIECES = 150_000
 #: Longer pieces are encoded without being kept.
 CACHE_CHARS = 64
 
@@ -178,17 +178,6 @@ class Encoder:
         return b"".join(self.v.strings[np.frombuffer(ids, "<u4")].tolist()).decode("utf-8", "replace")
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(key: str, vocabulary) -> Encoder:
-    """The worker's encoder; it keeps its pieces from task to task."""
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(vocabulary.value)
-    return _ENCODERS[key]
-
-
 def encode_texts(docs: DataFrame, tokenizer: str, text_col: str = "text", digests: bool = False,
                  keep: list[str] | None = None) -> DataFrame:
     """``docs`` with n_tokens and either bpe_ids (array<int>) and bpe_text (the ids
@@ -198,7 +187,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, text_col: str = "text", digest
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(tokenizer))
 
     def make():
-        encoder = _encoder(tokenizer, vocabulary)
+        encoder = kept(("bpe", tokenizer), lambda: Encoder(vocabulary.value))
 
         def fn(texts):
             n, first, second = [], [], []

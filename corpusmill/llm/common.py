@@ -15,6 +15,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Texts are handed to Python code in runs of about so many characters.
 RUN_CHARS = 4_000_000
+#: Bytes of an Arrow batch that goes to Python code; one row at least.
+BATCH_BYTES = 8 << 20
 
 # The ASCII letters, and the white space of the word patterns.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -52,6 +54,11 @@ def runs(texts: list[str | None], most: int = RUN_CHARS) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python by batches of BATCH_BYTES, however long their texts are.  Runtime SQL setting."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def add_columns(df: DataFrame, inputs: list[str], outputs: str | T.StructType,
                 make: Callable[[], Callable[..., list]], keep: list[str] | None = None) -> DataFrame:
     """Append columns computed from Arrow batches, without a shuffle.
@@ -63,13 +70,14 @@ def add_columns(df: DataFrame, inputs: list[str], outputs: str | T.StructType,
     """
     out = T._parse_datatype_string(outputs) if isinstance(outputs, str) else outputs
     taken = {f.name.lower() for f in out.fields}
-    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
+    carried = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
     # inputs are carried under names of their own, so that a replaced column can still be an input
-    src = df.select(*[F.col(f"`{c}`") for c in kept],
+    src = df.select(*[F.col(f"`{c}`") for c in carried],
                     *[F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(inputs)])
-    schema = T.StructType([src.schema[c] for c in kept] + list(out.fields))
+    small_batches(df.sparkSession)
+    schema = T.StructType([src.schema[c] for c in carried] + list(out.fields))
     arrow = to_arrow_schema(out)
-    n_kept = len(kept)
+    n_carried = len(carried)
 
     def body(batches):
         fn = None
@@ -78,11 +86,11 @@ def add_columns(df: DataFrame, inputs: list[str], outputs: str | T.StructType,
                 fn = make()
             if batch.num_rows == 0:
                 continue
-            made = fn(*[batch.column(n_kept + i).to_pylist() for i in range(len(inputs))])
+            made = fn(*[batch.column(n_carried + i).to_pylist() for i in range(len(inputs))])
             arrays = [a if isinstance(a, pa.Array) else pa.array(a, f.type) for a, f in zip(made, arrow)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(n_kept)] + arrays,
-                names=kept + [f.name for f in arrow])
+                [batch.column(i) for i in range(n_carried)] + arrays,
+                names=carried + [f.name for f in arrow])
 
     return src.mapInArrow(body, schema)
 

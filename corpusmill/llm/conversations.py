@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import SPACES
+from corpusmill.llm.common import SPACES, small_batches
 from corpusmill.operators.neardup import salted_join_sides
 from corpusmill.session import reliable_checkpoint
 
@@ -250,6 +250,7 @@ def marked_rows(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
                 text_col: str = "text", copies_col: str | None = None) -> DataFrame:
     """Distinct rows (key, turn, role, text) with how often they stand there and whether an earlier
     turn of the conversation has the same role and text; written, as several jobs read it."""
+    small_batches(rows.sparkSession)
     one_space = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(" "))
     distinct = (rows.select(conversation_key(conv_col).alias("key"), F.col(f"`{turn_col}`").cast("long").alias("turn"),
                             one_space(role_col).alias("role"), one_space(text_col).alias("text"),

@@ -44,7 +44,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusmill.llm.bpe import Kept, byte_letters
-from corpusmill.llm.common import kept
+from corpusmill.llm.common import kept, small_batches
 
 # Fixed values of the contract: the window and the id that ends a document.
 WINDOW, END_ID = 2048, 1
@@ -268,6 +268,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     schema = T.StructType([rows.schema["doc_id"], long("start"), long("length"), ids_of, long("doc_tokens"),
                            long("sequence_id"), long("offset")])
     arrow = to_arrow_schema(schema)
+    small_batches(docs.sparkSession)
 
     def run(batches):
         encoder = kept(("packing", tokenizer), lambda: UnitEncoder(sent.value))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import add_columns, boxed
+from corpusmill.llm.common import add_columns, boxed, kept
 
 KINDS = ["email", "ip", "card", "phone"]
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
@@ -285,7 +285,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     chosen = (with_anchor.select(F.col(f"`{id_col}`").alias("chosen_id")).where("chosen_id IS NOT NULL")
               .orderBy(F.xxhash64("chosen_id"), "chosen_id").limit(sample))
     rows = (with_anchor.select(F.col(f"`{id_col}`").alias("chosen_id"), F.col(f"`{text_col}`").alias("t"))
-            .join(F.broadcast(chosen.distinct()), "chosen_id"))
+            .join(F.broadcast(chosen.distinct()), "chosen_id")
+            # of an id's rows the least text, so that repeated rows cannot fill the one task that learns
+            .groupBy("chosen_id").agg(F.min("t").alias("t")))
 
     def run(batches):
         got = sorted(((zlib.crc32(str(r["chosen_id"]).encode()), r["t"]) for b in batches for r in b.to_pylist()))
@@ -364,9 +366,6 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-_TAGGERS: dict[int, Tagger] = {}
-
-
 def find(docs: DataFrame, model: bytes | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with n_email, n_ip, n_card and n_phone (base spans), base_spans and spans
     (kind:start:end in code points, end exclusive) and masked_text."""
@@ -375,11 +374,7 @@ def find(docs: DataFrame, model: bytes | None, text_col: str = "text", keep: lis
     def make():
         tagger = None
         if sent.value is not None:
-            key = zlib.crc32(sent.value)
-            if key not in _TAGGERS:
-                _TAGGERS.clear()
-                _TAGGERS[key] = Tagger.from_bytes(sent.value)
-            tagger = _TAGGERS[key]
+            tagger = kept(("pii", zlib.crc32(sent.value)), lambda: Tagger.from_bytes(sent.value))
 
         def fn(texts):
             whole = [t or "" for t in texts]

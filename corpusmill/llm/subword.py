@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import add_columns, crc_mod
+from corpusmill.llm.common import add_columns, crc_mod, kept
 
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -197,7 +197,8 @@ class Scorer(dict):
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: Callable, sample: tuple[int, int],
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, y) of at most ``sample[y]`` labelled documents of the learning fold for each
-    class y, spread by a hash of the id.  An id labelled both ways is left out."""
+    class y, spread by a hash of the id.  An id labelled both ways is left out; of an id's rows the
+    least text counts, so that repeated rows cannot fill the one task that learns."""
     known = (labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & fold(labels))
              .groupBy(F.col(id_col).alias("labelled_id"))
              .agg(F.max(label).cast("int").alias("y"), F.min(label).cast("int").alias("z"))
@@ -206,7 +207,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: Callab
     chosen = (known.where("y = 0").orderBy(*order).limit(sample[0])
               .unionByName(known.where("y = 1").orderBy(*order).limit(sample[1])))
     return (docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t"))
-            .join(F.broadcast(chosen), F.col("id") == F.col("labelled_id")).select("id", "t", "y"))
+            .join(F.broadcast(chosen), F.col("id") == F.col("labelled_id"))
+            .groupBy("id", "y").agg(F.min("t").alias("t")).select("id", "t", "y"))
 
 
 def fit(rows: DataFrame, settings: Settings) -> bytes:
@@ -215,8 +217,6 @@ def fit(rows: DataFrame, settings: Settings) -> bytes:
     def run(batches):
         rows = sorted(((r["id"], r["t"] or "", r["y"]) for b in batches for r in b.to_pylist()),
                       key=lambda r: (zlib.crc32(str(r[0]).encode()), r))
-        # repeated ids: each row is an example, up to the bound
-        rows = rows[:sum(settings.sample)]
         if rows:
             model = Model(settings).fit([r[1] for r in rows], [r[2] for r in rows]).compact()
             yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
@@ -228,20 +228,13 @@ def fit(rows: DataFrame, settings: Settings) -> bytes:
     return np.zeros(settings.buckets + 1, "<f4").tobytes()
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def score_texts(docs: DataFrame, model: bytes, settings: Settings, text_col: str, out: str,
                 keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the probability of class 1 as column ``out``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        key = zlib.crc32(sent.value)
-        if key not in _SCORERS:  # a worker keeps its words from task to task
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(sent.value, settings)
-        scorer = _SCORERS[key]
+        scorer = kept(("subword", zlib.crc32(sent.value)), lambda: Scorer(sent.value, settings))
         return lambda texts: [[scorer.score(t) for t in texts]]
 
     return add_columns(docs, [text_col], f"`{out}` double", make, keep)

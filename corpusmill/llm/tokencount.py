@@ -29,7 +29,7 @@ from dataclasses import dataclass
 import ahocorasick
 from pyspark.sql import DataFrame
 
-from corpusmill.llm.common import add_columns
+from corpusmill.llm.common import add_columns, kept
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -116,9 +116,6 @@ class Counter:
         return total
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", out: str = "n_tokens",
                  keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the number of tokens of each text; ``tokenizer`` is a vocabulary file's path on
@@ -126,10 +123,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", out: s
     vocabulary = docs.sparkSession.sparkContext.broadcast(Unigram.read(tokenizer))
 
     def make():
-        if tokenizer not in _COUNTERS:
-            _COUNTERS.clear()
-            _COUNTERS[tokenizer] = Counter(vocabulary.value)
-        counter = _COUNTERS[tokenizer]
+        counter = kept(("tokens", tokenizer), lambda: Counter(vocabulary.value))
         return lambda texts: [[counter.count(t) for t in texts]]
 
     return add_columns(docs, [text_col], f"`{out}` long", make, keep)
