@@ -15,9 +15,10 @@ sequence has padding, a document is cut only where its pieces are, and no
 rows are shuffled: a frequent id, a hot source or a large group of copies
 makes no task larger.
 
-Ids are those of the public ``tokenizers`` library.  As its pre-tokenization
-drops white space and no token crosses it, a text is cut there into units, and
-a worker keeps the ids of the units and pieces that it met last.
+Ids are those of the public ``tokenizers`` library.  Its pre-tokenization cuts
+texts into pieces that no token crosses; a worker keeps the ids of the pieces
+that it met last, and of units between white space where a text has
+characters that need the library's own rules.
 
 Defined results: a null text is empty; an empty text is its end id alone, one
 piece of one id; repeated rows are documents of their own; a null id is an id;
@@ -50,18 +51,18 @@ from corpusmill.llm.common import kept, small_batches
 WINDOW, END_ID = 2048, 1
 CUT = 512
 GROUP_WINDOWS = 256
-KEPT_UNITS = 150_000
+KEPT_UNITS = 100_000
 #: Rows of one Arrow batch.
 BATCH_ROWS = 10_000
 
-# The pre-tokenization and normalization that the tokenizer file must have, and what the
-# pattern is on lower-case ASCII.
+# The pre-tokenization and normalization that the tokenizer file must have.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
-#: White space on which str.split and the pattern may differ; a text that has some is cut at the rest only.
-ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-PLAIN_SPACE = re.compile("[ \t\n\r]+")
+#: Texts of these characters are in normal form, and the pattern is PLAIN_PIECES on them.
+PLAIN = re.compile("[\t\n\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-įı-ňŊ-ſ]*")
+PLAIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-ſ]+|[0-9]|[^\t\n\r\x20a-z0-9\xdf-\xf6\xf8-ſ]+")
+#: Other texts are cut at white space of which there is no doubt.
+SPACE = re.compile("[ \t\n\r]+")
 
 
 class UnitEncoder:
@@ -79,43 +80,46 @@ class UnitEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t["content"] for t in told["added_tokens"]]
-        self.letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
-        self.units, self.pieces = Kept(keep), Kept(keep)
+        self.letters = byte_letters()
+        self.units, self.pieces = Kept(keep), Kept(3 * keep)
 
-    def piece(self, piece: str) -> bytes:
+    def ids(self, letters: str) -> bytes:
         """Ids of one piece in the letters that stand for bytes."""
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def piece(self, piece: str) -> bytes:
         ids = self.pieces.old.get(piece)
         if ids is None:
-            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+            ids = self.ids(piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters))
         return self.pieces.put(piece, ids)
 
+    def plain(self, text: str) -> bytes:
+        pieces = PLAIN_PIECES.findall(text.lower())
+        found = list(map(self.pieces.young.get, pieces))
+        if None in found:
+            piece = self.piece
+            found = [f or piece(p) for f, p in zip(found, pieces)]
+        return b"".join(found)
+
     def unit(self, unit: str) -> bytes:
-        ids = self.units.old.get(unit)
+        ids = self.units.young.get(unit, self.units.old.get(unit))
         if ids is None:
             if any(a in unit for a in self.added):
                 ids = array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
+            elif PLAIN.fullmatch(unit):
+                ids = self.plain(unit)
             else:
-                if unit.isascii():
-                    pieces = ASCII_PIECES.findall(unit.lower())
-                    if not unit.isprintable():
-                        pieces = [p.translate(self.letters) for p in pieces]
-                else:
-                    plain = self.tokenizer.normalizer.normalize_str(unit)
-                    pieces = [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
-                known = self.pieces.young.get
-                ids = b"".join([known(p) or self.piece(p) for p in pieces])
+                parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(unit))
+                ids = b"".join([self.ids(p) for p, _ in parts])
         return self.units.put(unit, ids)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        units = [u for u in PLAIN_SPACE.split(text) if u] if ODD_SPACE.search(text) else text.split()
-        found = list(map(self.units.young.get, units))
-        if None in found:
-            get, unit = self.units.young.get, self.unit
-            found = [f if f is not None else get(u) or unit(u) for f, u in zip(found, units)]
-        return b"".join(found)
+        if PLAIN.fullmatch(text) and not any(a in text for a in self.added):
+            return self.plain(text)
+        return b"".join([self.unit(u) for u in SPACE.split(text) if u])
 
 
 def difference(sizes: list[int], k: int) -> list[list[int]]:
