@@ -1,52 +1,94 @@
-"""Prediction scoring (PRJ15-PRJ16, MET1, AGG13-AGG14, JN10).
-
-Exact match is native.  The reference's edit similarity is the indel ratio
-(2 * LCS / total length, rounded half-to-even, 0 when a side is empty); no
-built-in computes an LCS, so a pandas UDF runs a bit-parallel LCS per row
-(O(len/word) per character).  ``native_ratio`` is the built-in Levenshtein
+"""Prediction scoring (PRJ15-PRJ16, MET1, AGG13-AGG14, JN10), native throughout.
+
+Edit similarity is the indel ratio: 2 * LCS / total length, rounded
+half-to-even, 0 when a side is empty.  The longest common subsequence is
+computed with bit vectors inside one expression: the shorter string lies in
+words of WORD_BITS bits, and a fold over the longer string's code points
+updates all of them with one addition each, the carry going from word to word
+(the bit-parallel recurrence V' = (V + (V & M)) | (V - (V & M)), where M marks
+the places of the code point).  ``native_ratio`` is the built-in Levenshtein
 variant (substitution costs 1) for when that definition is acceptable.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 from corpusmill.functions.text import cut_prediction, normalise_literals, normalise_ws, ws_tokens
 
+#: Bits of a word; with the carry an addition stays below 2^63.
+WORD_BITS = 62
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` over a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _characters(s: Column) -> Column:
+    return F.filter(F.split(s, ""), lambda c: c != "")
+
+
+def _word_masks(chars: Column, c: Column) -> Column:
+    """Words that mark the places of ``c`` among ``chars``, place 0 in the lowest bit of the first."""
+    words = F.sequence(F.lit(0), F.ceil(F.size(chars) / F.lit(WORD_BITS)).cast("int") - 1)
+    return F.transform(words, lambda w: F.aggregate(
+        F.reverse(F.slice(chars, w * WORD_BITS + 1, WORD_BITS)), F.lit(0).cast("long"),
+        lambda bits, x: bits * 2 + F.when(x == c, 1).otherwise(0)))
+
+
+def lcs_length(a: Column | str, b: Column | str) -> Column:
+    """Length of the longest common subsequence of two strings' code points."""
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    full = F.lit((1 << WORD_BITS) - 1)
+    no_words = F.array().cast("array<long>")
+
+    def updated(words: Column, masks: Column) -> Column:
+        def one(done: Column, x: Column) -> Column:
+            hit = x["v"].bitwiseAND(x["m"])
+            total = x["v"] + hit + done["carry"]
+            word = total.bitwiseOR(x["v"] - hit).bitwiseAND(full)
+            return F.struct(F.concat(done["words"], F.array(word)).alias("words"),
+                            F.shiftright(total, WORD_BITS).alias("carry"))
+
+        start = F.struct(no_words.alias("words"), F.lit(0).cast("long").alias("carry"))
+        return F.aggregate(F.arrays_zip(words.alias("v"), masks.alias("m")), start, one, lambda done: done["words"])
+
+    def updated_word(words: Column, masks: Column) -> Column:
+        """The usual case: the shorter string fits one word."""
+        v = words[0]
+        hit = v.bitwiseAND(masks[0])
+        return F.array((v + hit).bitwiseOR(v - hit).bitwiseAND(full))
+
+    def folded(x: Column) -> Column:
+        # a code point that the shorter string lacks changes nothing
+        shared = F.filter(x["long"], lambda c: F.array_contains(x["short"], c))
+        masks = F.map_from_entries(F.transform(F.array_intersect(x["short"], x["long"]),
+                                               lambda c: F.struct(c, _word_masks(x["short"], c))))
+        count = F.ceil(F.size(x["short"]) / F.lit(WORD_BITS)).cast("int")
+        start = F.array_repeat(full, count)
+
+        def run(step):
+            return _let(F.struct(shared.alias("chars"), masks.alias("masks")), lambda y: F.aggregate(
+                y["chars"], start, lambda words, c: step(words, F.element_at(y["masks"], c))))
+
+        words = F.when(count == 1, run(updated_word)).otherwise(run(updated))
+        ones = F.aggregate(words, F.lit(0), lambda n, w: n + F.bit_count(w))
+        return count * WORD_BITS - ones
+
+    ordered = F.when(F.length(a) <= F.length(b), F.struct(_characters(a).alias("short"), _characters(b).alias("long"))).otherwise(
+        F.struct(_characters(b).alias("short"), _characters(a).alias("long")))
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0)).otherwise(_let(ordered, folded))
+
 
-def lcs_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence (bit-parallel, code points)."""
-    if not a or not b:
-        return 0
-    if len(b) > len(a):
-        a, b = b, a
-    masks: dict[str, int] = {}
-    for i, ch in enumerate(b):
-        masks[ch] = masks.get(ch, 0) | (1 << i)
-    full = (1 << len(b)) - 1
-    v = full
-    for ch in a:
-        u = v & masks.get(ch, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(b) - bin(v).count("1")
-
-
-def indel_ratio_value(a: str | None, b: str | None) -> int:
-    """MET1 on two Python strings: round(100 * 2*LCS / (len a + len b))."""
-    if a is None or b is None or len(a) == 0 or len(b) == 0:
-        return 0
-    total = len(a) + len(b)
-    return int(round(100.0 * (2 * lcs_length(a, b)) / total))
-
-
-@pandas_udf(T.IntegerType())
-def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """MET1 as a vectorised (Arrow-batched) column function."""
-    return pd.Series([indel_ratio_value(x, y) for x, y in zip(a, b)], dtype="int32")
+def indel_ratio(a: Column | str, b: Column | str) -> Column:
+    """MET1: round(100 * 2 * LCS / total length), half to even; 0 when a side is null or empty."""
+    a, b = (F.coalesce(F.col(x) if isinstance(x, str) else x, F.lit("")) for x in (a, b))
+    total = F.length(a) + F.length(b)
+    return (F.when((F.length(a) == 0) | (F.length(b) == 0), 0)
+            .when(a == b, 100)
+            .otherwise(F.bround(F.lit(100.0) * (2 * lcs_length(a, b)) / total, 0).cast("int")))
 
 
 def native_ratio(a: Column | str, b: Column | str) -> Column:

@@ -272,6 +272,17 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
         SELECT round(avg(CASE WHEN length(p) = 0 OR length(g) = 0 THEN 0
                               ELSE CAST(round_even(100.0::DOUBLE * (length(p) + length(g) - levenshtein(p, g)) / (length(p) + length(g)), 0) AS INTEGER) END), 2)
                AS edit_similarity FROM nrm""",
+    # the longest common subsequence as the longest increasing chain of places that match, each new place
+    # replacing the least chain end that is not before it
+    "edit_similarity": _w(FILES, PREDS, """nrm AS (SELECT array_to_string(list_filter(string_split_regex(split_part(pred, '</s>', 1), '\\s+'), lambda x: x <> ''), ' ') AS p,
+                array_to_string(list_filter(string_split_regex(gold, '\\s+'), lambda x: x <> ''), ' ') AS g FROM preds),
+            places AS (SELECT p, g, flatten(list_transform(pc, lambda c: list_filter(range(len(gc), 0, -1), lambda j: gc[j] = c))) AS js
+                       FROM (SELECT DISTINCT p, g, string_split(p, '') AS pc, string_split(g, '') AS gc FROM nrm)),
+            lcs AS (SELECT p, g, len(list_reduce(list_prepend([]::BIGINT[], list_transform(js, lambda j: [j])), lambda ends, j: list_concat(
+                        list_filter(ends, lambda e: e < j[1]), j, list_filter(ends, lambda e: e >= j[1])[2:]))) AS l FROM places)""") + """
+        SELECT round(avg(CASE WHEN length(p) = 0 OR length(g) = 0 THEN 0
+                              ELSE CAST(round_even(100.0::DOUBLE * (2 * l) / (length(p) + length(g)), 0) AS INTEGER) END), 2)
+               AS edit_similarity FROM nrm JOIN lcs USING (p, g)""",
     "zip_rows": _w(FILES, PREDS) + """SELECT row_number() OVER (ORDER BY example_id) - 1 AS row_index, example_id, example_id AS gold_id FROM preds""",
     "seeded_shuffle": "SELECT doc_id, md5('42:' || CAST(doc_id AS VARCHAR)) AS shuffle_key FROM documents",
     "fixed_batches": _w(FILES, PREDS) + """SELECT example_id, row_index, row_index // 8 AS batch
