@@ -344,14 +344,38 @@ def near_duplicate_pairs(docs: DataFrame, id_col: str = "id", tokens_col: str =
     return near_duplicates(docs, id_col, tokens_col, key_threshold, threshold, minimum).all_pairs()
 
 
-def pairs_by_project(pairs: DataFrame, projects: DataFrame, id_col: str = "id",
+def pairs_by_project(found: NearDuplicates, projects: DataFrame, id_col: str = "id",
                      project_col: str = "project") -> DataFrame:
-    """JN4: tag each pair as within one project or across two (no batch loop)."""
-    p1 = projects.select(F.col(id_col).alias("id1"), F.col(project_col).alias("project1"))
-    p2 = projects.select(F.col(id_col).alias("id2"), F.col(project_col).alias("project2"))
-    return (pairs.join(p1, "id1").join(p2, "id2")
-            .withColumn("scope", F.when(F.col("project1") == F.col("project2"), "within")
-                        .otherwise("across")))
+    """JN4: (scope, pairs): how many similar pairs lie within one project and across two.
+
+    No pair of documents is built.  Each distinct bag has a histogram of its
+    copies' projects; a pair of similar bags stands for the product of their
+    copy counts, those within a project for the sum of products by project,
+    and a bag's own copies for g (g - 1) / 2.  A null project is no project.
+    """
+    of = projects.select(F.col(id_col).alias("id"), F.col(project_col).alias("project"))
+    histogram = (found.members.join(of, "id").groupBy("rep", "project").agg(F.count(F.lit(1)).alias("c"))
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+    sizes = histogram.groupBy("rep").agg(F.sum("c").alias("g"))
+    known = histogram.where(F.col("project").isNotNull())
+    ends = [("id1", "1"), ("id2", "2")]
+    side = lambda df, value, end, n: df.select(
+        F.col("rep").alias(end), *[F.col(c) for c in df.columns if c not in ("rep", value)], F.col(value).alias(value + n))
+    pairs = found.rep_pairs.select("id1", "id2")
+    every, within = pairs, pairs
+    for end, n in ends:
+        every = every.join(side(sizes, "g", end, n), end)
+        within = within.join(side(known, "c", end, n), [end] if n == "1" else [end, "project"])
+    own = lambda c: F.floor(F.col(c) * (F.col(c) - 1) / 2)
+    total = lambda df, what, sign: df.agg(F.coalesce(F.sum(what), F.lit(0)).cast("long").alias("n")).select(
+        "n", F.lit(sign).alias("inside"))
+    counts = (total(every, F.col("g1") * F.col("g2"), False).unionByName(total(sizes, own("g"), False))
+              .unionByName(total(within, F.col("c1") * F.col("c2"), True)).unionByName(total(known, own("c"), True)))
+    inside = F.sum(F.when(F.col("inside"), F.col("n")))
+    return (counts.agg(F.array(F.struct(F.lit("within").alias("scope"), inside.alias("pairs")),
+                               F.struct(F.lit("across").alias("scope"), (F.sum(F.when(~F.col("inside"), F.col("n"))) - inside).alias("pairs"))
+                               ).alias("rows"))
+            .select(F.explode("rows").alias("r")).select("r.*").where("pairs > 0"))
 
 
 def key_jaccard(a, b):

@@ -129,9 +129,7 @@ def q_pair_similarity(spark, sf):
 
 def q_pairs_by_project(spark, sf):
     docs = S.token_docs(spark, sf)
-    pairs = N.near_duplicates(docs).all_pairs()
-    tagged = N.pairs_by_project(pairs, docs.select("id", "project"))
-    return tagged.groupBy("scope").agg(F.count(F.lit(1)).alias("pairs"))
+    return N.pairs_by_project(N.near_duplicates(docs), docs.select("id", "project"))
 
 
 def q_leader_pairs(spark, sf):

@@ -221,3 +221,19 @@ def test_hot_tokens_salted_alike(spark, monkeypatch):
     assert want == sorted(brute_pairs(dict(docs), .5, .5))
     monkeypatch.setattr(N, "HOT_KEY_ROWS", 5)
     assert want and sorted((r.id1, r.id2) for r in N.near_duplicate_pairs(df).collect()) == want
+
+
+def test_pairs_by_project_are_counted_not_built(spark, monkeypatch):
+    """Counts by project equal those of all pairs, copies and null projects included, without building a pair."""
+    rng = random.Random(21)
+    bags = [[rng.choice("abcdefghijkl") for _ in range(24)] for _ in range(12)]
+    rows = [(i, rng.choice(bags) + ["x"] * rng.choice([0, 0, 3]), rng.choice(["p", "q", None])) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>, project string")
+    found = N.near_duplicates(df)
+    project = {i: p for i, _, p in rows}
+    want = {}
+    for r in found.all_pairs().collect():
+        scope = "within" if project[r.id1] is not None and project[r.id1] == project[r.id2] else "across"
+        want[scope] = want.get(scope, 0) + 1
+    monkeypatch.setattr(N.NearDuplicates, "all_pairs", None)
+    assert want and {r.scope: r.pairs for r in N.pairs_by_project(found, df).collect()} == want

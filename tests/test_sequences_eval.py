@@ -47,19 +47,26 @@ def dp_lcs(a, b):
     return m[-1][-1]
 
 
-def test_lcs_bit_parallel_matches_dp():
-    rng = random.Random(3)
-    for _ in range(300):
-        a = "".join(rng.choice("abcd\U0001F600") for _ in range(rng.randrange(0, 40)))
-        b = "".join(rng.choice("abcd\U0001F600") for _ in range(rng.randrange(0, 90)))
-        assert E.lcs_length(a, b) == dp_lcs(a, b)
-    assert E.lcs_length("kitten", "sitting") == 4
-
-
-def test_indel_ratio_values():
-    assert E.indel_ratio_value("", "") == 0
-    assert E.indel_ratio_value("abc", "abc") == 100
-    assert E.indel_ratio_value("kitten", "sitting") == round(100 * 8 / 13)
+def test_lcs_equals_dynamic_programming(spark):
+    rng = random.Random(8)
+    pairs = [("kitten", "sitting"), ("", ""), ("", "a"), ("abc", "abc"), ("a" * 300, "ab" * 200), ("😀é😀", "é😀x😀")]
+    for alphabet, most, count in (("ab", 12, 1500), ("abcdef é", 70, 1500), ("a😀b🎉é中", 40, 1500), ("abcdefgh", 200, 500), ("xy", 330, 30)):
+        pairs += [tuple("".join(rng.choice(alphabet) for _ in range(rng.randrange(most))) for _ in "ab") for _ in range(count)]
+    assert len(pairs) > 5000
+    rows = spark.createDataFrame(pairs, "a string, b string").select(
+        "a", "b", E.lcs_length("a", "b").alias("l"), E.indel_ratio("a", "b").alias("r")).collect()
+    for r in rows:
+        want = dp_lcs(r.a, r.b)
+        assert r.l == want, (r.a, r.b)
+        assert r.r == (round(100.0 * 2 * want / (len(r.a) + len(r.b))) if r.a and r.b else 0)
+    nulls = spark.createDataFrame([(None, "a"), ("a", None), (None, None)], "a string, b string")
+    assert [r[0] for r in nulls.select(E.indel_ratio("a", "b")).collect()] == [0, 0, 0]
+
+
+def test_scores_run_no_python(spark):
+    p = spark.createDataFrame([(1, "a", "b")], "example_id long, pred string, gold string")
+    plan = E.edit_similarity(E.score_rows(E.prepare_predictions(p)))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_exact_match_whitespace(spark):
@@ -199,3 +206,31 @@ def test_sequence_token_array_matches_normalised_path(spark):
     rows = df.select(Q.sequence_token_array("seq").alias("a"),
                      Q.seq_tokens(drop_first_token("seq")).alias("b")).collect()
     assert all(r.a == r.b for r in rows)
+
+
+def test_vocab_lookup_salted_and_repeated(spark, monkeypatch):
+    """Every way of the lookup gives the ids of a plain dictionary, documents without tokens included."""
+    from corpusmill.operators import bags as B
+    rng = random.Random(12)
+    docs = [(i, [rng.choice("abcdefgh") * rng.choice([1, 1, 2]) for _ in range(rng.randrange(60))]) for i in range(120)] + [(500, [])]
+    words = [a * n for a in "abcdefg" for n in (1, 2)]
+    ids = {w: k for k, w in enumerate(words)}
+    want = {i: [ids.get(t, -1) for t in ts] for i, ts in docs}
+    df = spark.createDataFrame(docs, "id long, tokens array<string>")
+    vocab = spark.createDataFrame(list(ids.items()), "token string, token_id long")
+    monkeypatch.setattr(B, "HOT_TOKEN_ROWS", 9)
+    for bound in (1000, 0):
+        got = {r.id: r.token_ids for r in B.vocab_encode(df, vocab, broadcast_max_rows=bound).collect()}
+        assert got == want
+    pairs = B.token_positions(df).where("token IS NOT NULL")
+    assert pairs.count() == sum(len(set(ts)) for _, ts in docs)
+
+
+def test_halo_copies_few_rows(spark):
+    rows = [(1, 0, s, s, float(s)) for s in range(1, 1001)]
+    log = spark.createDataFrame(rows, "run long, epoch int, step long, epoch_step long, loss double")
+    for window, block in ((10, 100), (1, 7), (7, 7)):
+        n = L.with_halo(log, window, block).count()
+        assert n <= 1000 * (1 + window / block)
+        out = {r.step: r.trailing_loss for r in L.trailing_mean(log, 1, window, block).collect()}
+        assert all(out[s] == round(sum(range(max(1, s - window + 1), s + 1)) / min(s, window), 4) for s in range(1, 1001))

@@ -118,3 +118,24 @@ def test_sequences_and_predictions_sinks(spark, scratch):
     pairs = spark.createDataFrame([("f1", "f2", 0.5, 0.75)], "file1 string, file2 string, jaccard double, key_jaccard double")
     W.write_pairs(pairs, os.path.join(scratch, "pairs"))
     assert spark.read.csv(os.path.join(scratch, "pairs")).first()[0] == "f1"
+
+
+def test_line_numbers_over_many_splits(spark, tmp_path):
+    """Lines are numbered by file and position over many files and splits, and their texts are not sorted."""
+    from corpusmill.sources import readers as R
+    want = []
+    for f in range(7):
+        lines = [f"{f}:{k} " + "x" * (k % 90) for k in range((f * 137) % 400)]
+        (tmp_path / f"part-{f}.txt").write_text("".join(x + "\n" for x in lines))
+        want += lines
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        df = R.read_lines_indexed(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 8
+        got = sorted((r.line_no, r.value) for r in df.collect())
+        plan = df._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == list(enumerate(want))
+    assert "rangepartitioning" not in plan
