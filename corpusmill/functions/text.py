@@ -18,6 +18,11 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body`` over a value that is computed once for the row, however often it is named."""
+    return F.transform(F.array(value), body)[0]
+
+
 def has_extension(name: Column | str, ext: str) -> Column:
     """PRJ1: exact suffix test (``ext`` like '.py')."""
     return _c(name).endswith(ext)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.text import let
 from corpusmill.session import adaptive_caching, reliable_checkpoint
 
 MIN_TOKENS = 20  # fixed value: minimum tokens per indexed file
@@ -85,43 +86,42 @@ def token_positions(tokens_df: DataFrame, tokens_col: str = "tokens") -> DataFra
     The tokens of a row are sorted with their positions, and equal neighbours become one entry.  A
     document without tokens keeps one row of nulls.
     """
-    placed = F.array_sort(F.transform(tokens_col, lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
-    first = lambda s, k: (k == 0) | (F.get(s, k)["t"] != F.get(s, k - 1)["t"])
-    starts = F.filter(F.sequence(F.lit(0), F.size("s") - 1), lambda k: first(F.col("s"), k))
-    entries = F.transform("starts", lambda k, n: F.struct(
-        F.get(F.col("s"), k)["t"].alias("token"),
-        F.slice(F.col("s.i"), k + 1, F.coalesce(F.get(F.col("starts"), n + 1), F.size("s")) - k).alias("positions")))
-    return (tokens_df.select("id", placed.alias("s"))
-            .select("id", "s", F.when(F.size("s") > 0, starts).otherwise(F.array().cast("array<int>")).alias("starts"))
-            .select("id", F.explode_outer(entries).alias("e")).select("id", "e.token", "e.positions"))
+    def runs(x: Column) -> Column:
+        starts = F.filter(F.transform(x["t"], lambda t, k: F.when((k == 0) | (t != F.get(x["t"], k - 1)), k)), lambda k: k.isNotNull())
+        return let(starts, lambda at: F.transform(at, lambda k, n: F.struct(
+            F.get(x["t"], k).alias("token"),
+            F.slice(x["i"], k + 1, F.coalesce(F.get(at, n + 1), F.size(x["i"])) - k).alias("positions"))))
+
+    placed = F.sort_array(F.transform(tokens_col, lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
+    entries = let(placed, lambda s: let(F.struct(s["t"].alias("t"), s["i"].alias("i")), runs))
+    return tokens_df.select("id", F.explode_outer(entries).alias("e")).select("id", "e.token", "e.positions")
 
 
 def vocab_encode(tokens_df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
                  unk_id: int = -1, broadcast_max_rows: int = BROADCAST_VOCAB_MAX_ROWS) -> DataFrame:
     """JN9 lookup: token array -> id array, unknown -> ``unk_id``.
 
-    A (document, token) pair is looked up once, however often the token
-    stands in the document, and its id is scattered to its positions.  The
-    vocabulary grows with the corpus, so it is broadcast only after its row
-    count has been checked against ``broadcast_max_rows``; the pairs then stay
-    in their document partitioning and the re-assembly by document needs no
-    shuffle when the input is partitioned by id.  Above the bound the lookup is
-    a shuffle join on token; a token of more than HOT_TOKEN_ROWS documents is
-    salted.
+    The vocabulary grows with the corpus, so it is broadcast only after its row
+    count has been checked against ``broadcast_max_rows``; then every
+    occurrence is looked up where it is, and the re-assembly by document needs
+    no shuffle when the input is partitioned by id.  Above the bound tokens go
+    through a shuffle join: one row for each (document, token) with its
+    positions, however often the token stands there, and its id is scattered
+    to them; a token of more than HOT_TOKEN_ROWS documents is salted.
     """
     from corpusmill.operators.neardup import salted_join_sides
-    pairs = token_positions(tokens_df, tokens_col)
     v = vocab.select("token", "token_id")
+    tid = F.coalesce("token_id", F.lit(unk_id).cast("long")).alias("tid")
     if v.count() <= broadcast_max_rows:
-        joined = pairs.join(F.broadcast(v), "token", "left")
-    else:
-        hot = (pairs.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_TOKEN_ROWS)
-               .select("token", F.ceil(F.col("_n") / F.lit(HOT_TOKEN_ROWS)).cast("int").alias("_salts")))
-        big, small, keys = salted_join_sides(pairs, v, ["token"], hot, "id")
-        joined = big.join(small, keys, "left")
-    ids = F.coalesce("token_id", F.lit(unk_id).cast("long"))
-    entries = F.collect_list(F.when(F.col("positions").isNotNull(), F.struct("positions", ids.alias("tid"))))
-    scattered = F.array_sort(F.flatten(F.transform(F.col("_e"), lambda e: F.transform(
+        joined = tokens_df.select("id", F.posexplode_outer(tokens_col).alias("pos", "token")).join(F.broadcast(v), "token", "left")
+        placed = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", tid))))
+        return joined.groupBy("id").agg(placed.alias("_p")).select("id", F.col("_p.tid").alias("token_ids"))
+    pairs = token_positions(tokens_df, tokens_col)
+    hot = (pairs.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_TOKEN_ROWS)
+           .select("token", F.ceil(F.col("_n") / F.lit(HOT_TOKEN_ROWS)).cast("int").alias("_salts")))
+    big, small, keys = salted_join_sides(pairs, v, ["token"], hot, "id")
+    entries = F.collect_list(F.when(F.col("positions").isNotNull(), F.struct("positions", tid)))
+    scattered = F.sort_array(F.flatten(F.transform(F.col("_e"), lambda e: F.transform(
         e["positions"], lambda p: F.struct(p.alias("pos"), e["tid"].alias("tid"))))))
-    return (joined.groupBy("id").agg(entries.alias("_e")).select("id", scattered.alias("_p"))
+    return (big.join(small, keys, "left").groupBy("id").agg(entries.alias("_e")).select("id", scattered.alias("_p"))
             .select("id", F.col("_p.tid").alias("token_ids")))

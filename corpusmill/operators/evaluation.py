@@ -5,7 +5,8 @@ half-to-even, 0 when a side is empty.  The longest common subsequence is
 computed with bit vectors inside one expression: the shorter string lies in
 words of WORD_BITS bits, and a fold over the longer string's code points
 updates all of them with one addition each, the carry going from word to word
-(the bit-parallel recurrence V' = (V + (V & M)) | (V - (V & M)), where M marks
+(what both have in common at the start and at the end is set aside before; the
+bit-parallel recurrence V' = (V + (V & M)) | (V - (V & M)), where M marks
 the places of the code point).  ``native_ratio`` is the built-in Levenshtein
 variant (substitution costs 1) for when that definition is acceptable.
 """
@@ -15,19 +16,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import cut_prediction, normalise_literals, normalise_ws, ws_tokens
+from corpusmill.functions.text import cut_prediction, let, normalise_literals, normalise_ws, ws_tokens
 
 #: Bits of a word; with the carry an addition stays below 2^63.
 WORD_BITS = 62
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` over a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
+def _characters(s: Column) -> Column:
+    return F.slice(F.split(s, ""), F.lit(1), F.length(s))
 
 
-def _characters(s: Column) -> Column:
-    return F.filter(F.split(s, ""), lambda c: c != "")
+def _shared_start(a: Column, b: Column) -> Column:
+    """How many elements two arrays have in common at their start."""
+    differs = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
+    return F.when(differs > 0, differs - 1).otherwise(F.size(a)).cast("int")
+
+
+def _behind(a: Column, n: Column) -> Column:
+    return F.slice(a, n + 1, F.size(a) - n)
 
 
 def _word_masks(chars: Column, c: Column) -> Column:
@@ -70,16 +76,29 @@ def lcs_length(a: Column | str, b: Column | str) -> Column:
         start = F.array_repeat(full, count)
 
         def run(step):
-            return _let(F.struct(shared.alias("chars"), masks.alias("masks")), lambda y: F.aggregate(
+            return let(F.struct(shared.alias("chars"), masks.alias("masks")), lambda y: F.aggregate(
                 y["chars"], start, lambda words, c: step(words, F.element_at(y["masks"], c))))
 
         words = F.when(count == 1, run(updated_word)).otherwise(run(updated))
         ones = F.aggregate(words, F.lit(0), lambda n, w: n + F.bit_count(w))
         return count * WORD_BITS - ones
 
-    ordered = F.when(F.length(a) <= F.length(b), F.struct(_characters(a).alias("short"), _characters(b).alias("long"))).otherwise(
-        F.struct(_characters(b).alias("short"), _characters(a).alias("long")))
-    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0)).otherwise(_let(ordered, folded))
+    def without_end(x: Column) -> Column:
+        """Both arrays, backwards, from behind their common end."""
+        return let(_shared_start(x["a"], x["b"]), lambda n: F.struct(
+            (x["n"] + n).alias("n"), _behind(x["a"], n).alias("short"), _behind(x["b"], n).alias("long")))
+
+    def without_start(x: Column) -> Column:
+        return let(_shared_start(x["a"], x["b"]), lambda n: F.struct(
+            n.alias("n"), F.reverse(_behind(x["a"], n)).alias("a"), F.reverse(_behind(x["b"], n)).alias("b")))
+
+    def whole(x: Column) -> Column:
+        return x["n"] + F.when((F.size(x["short"]) == 0) | (F.size(x["long"]) == 0), 0).otherwise(folded(x))
+
+    ordered = F.when(F.length(a) <= F.length(b), F.struct(_characters(a).alias("a"), _characters(b).alias("b"))).otherwise(
+        F.struct(_characters(b).alias("a"), _characters(a).alias("b")))
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0)).otherwise(
+        let(ordered, lambda x: let(without_start(x), lambda y: let(without_end(y), whole))))
 
 
 def indel_ratio(a: Column | str, b: Column | str) -> Column:
