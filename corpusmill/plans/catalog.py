@@ -116,13 +116,16 @@ def q_near_dup_edges(spark, sf):
 
 
 def q_pair_similarity(spark, sf):
-    """JN2/JN3 on consecutive documents (a linear number of pairs)."""
+    """JN2/JN3 on documents that follow one another in id order, whatever ids are missing between them."""
     docs = S.token_docs(spark, sf)
     bags = (B.token_bag(docs, "id", "tokens").groupBy("id")
             .agg(F.map_from_entries(F.collect_list(F.struct("token", "cnt"))).alias("bag")))
     a = bags.select(F.col("id").alias("id1"), F.col("bag").alias("ba"))
     b = bags.select(F.col("id").alias("id2"), F.col("bag").alias("bb"))
-    j = a.join(b, F.col("id2") == F.col("id1") + 1)
+    place = O.with_row_index(bags.select("id"), [F.col("id")], "place")
+    after = place.select(F.col("id").alias("id1"), (F.col("place") + 1).alias("place")).join(
+        place.select(F.col("id").alias("id2"), "place"), "place").select("id1", "id2")
+    j = a.join(after, "id1").join(b, "id2")
     return j.select("id1", "id2", N.key_jaccard(F.map_keys("ba"), F.map_keys("bb")).alias("key_jaccard"),
                     N.multiset_jaccard(F.col("ba"), F.col("bb")).alias("jaccard"))
 
@@ -275,6 +278,15 @@ def q_window_counts(spark, sf):
     return t.select(F.col("id").alias("doc_id"), Q.window_count(F.size("tokens"), 1000, 100).alias("windows"))
 
 
+def q_window_totals(spark, sf):
+    """Sequence lines written as text, with blank lines among them, and read back."""
+    out = _io_dir(spark, "windows")
+    s = _seqs(spark, sf)
+    lines = s.select(F.explode(F.array(F.col("seq"), F.when(F.col("id") % 3 == 0, F.lit(" ")).otherwise(F.lit("")))).alias("value"))
+    lines.write.text(out)
+    return Q.window_totals(spark.read.text(out))
+
+
 def _train_features(spark, sf):
     return Q.train_features(_seqs(spark, sf), None, 1000, 100)
 
@@ -351,6 +363,15 @@ def q_edit_similarity(spark, sf):
     return E.edit_similarity(_scored(spark, sf, indel=True))
 
 
+def q_older_scores(spark, sf):
+    """AGG13/AGG14 as the older script scores: cut at the brace, literals normalised on both sides."""
+    p = _predictions(spark, sf).select("example_id", F.concat(F.lit("0"), "pred").alias("pred"),
+                                       F.concat(F.lit("<NUM_LIT>"), "gold", F.lit("<STR_LIT>")).alias("gold"))
+    scored = E.score_rows(E.prepare_predictions(p, "exclusive", literals=True))
+    return scored.agg(F.round(F.avg("exact") * 100, 2).alias("exact_match"),
+                      F.round(F.avg("edit_sim"), 2).alias("edit_similarity"))
+
+
 def q_zip_rows(spark, sf):
     p = _predictions(spark, sf)
     a = p.select("example_id", "pred")

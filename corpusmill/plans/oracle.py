@@ -132,6 +132,21 @@ def _w(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
+def normal(pred: str, gold: str) -> str:
+    """Predictions (p) and truths (g) with single blanks."""
+    one = lambda x: f"array_to_string(list_filter(string_split_regex({x}, '\\\\s+'), lambda x: x <> ''), ' ')"
+    return f"nrm AS (SELECT {one(pred)} AS p, {one(gold)} AS g FROM preds)"
+
+
+# the longest common subsequence as the longest increasing chain of places that match, each new place
+# replacing the least chain end that is not before it
+LCS = """places AS (SELECT p, g, flatten(list_transform(pc, lambda c: list_filter(range(len(gc), 0, -1), lambda j: gc[j] = c))) AS js
+           FROM (SELECT DISTINCT p, g, string_split(p, '') AS pc, string_split(g, '') AS gc FROM nrm)),
+lcs AS (SELECT p, g, len(list_reduce(list_prepend([]::BIGINT[], list_transform(js, lambda j: [j])), lambda ends, j: list_concat(
+            list_filter(ends, lambda e: e < j[1]), j, list_filter(ends, lambda e: e >= j[1])[2:]))) AS l FROM places)"""
+RATIO = """CASE WHEN length(p) = 0 OR length(g) = 0 THEN 0
+                ELSE CAST(round_even(100.0::DOUBLE * (2 * l) / (length(p) + length(g)), 0) AS INTEGER) END"""
+
 OCC = """occ AS (SELECT doc_id, unnest(tokens) AS token, unnest(range(0, len(tokens))) AS pos FROM stok),
 firsts AS (SELECT token, min({'d': doc_id, 'p': pos}) AS fs FROM occ GROUP BY token)"""
 
@@ -166,12 +181,12 @@ members AS (SELECT k.doc_id, r.rep FROM bagkey k JOIN reps r USING (bk))""") + "
         SELECT id1 AS src, id2 AS dst FROM pairs WHERE id1 IN (SELECT rep FROM reps) AND id2 IN (SELECT rep FROM reps)
         UNION ALL SELECT rep AS src, doc_id AS dst FROM members WHERE doc_id <> rep""",
     "pair_similarity": _w(TOKS, BAG, """t AS (SELECT doc_id, count(*) AS k, sum(cnt) AS n FROM bag GROUP BY doc_id),
-o AS (SELECT a.doc_id AS id1, count(*) AS ko, sum(least(a.cnt, c.cnt)) AS mo FROM bag a JOIN bag c
-      ON c.doc_id = a.doc_id + 1 AND a.token = c.token GROUP BY a.doc_id)""") + """
-        SELECT t1.doc_id AS id1, t2.doc_id AS id2,
-               coalesce(ko, 0)::DOUBLE / (t1.k + t2.k - coalesce(ko, 0)) AS key_jaccard,
+nx AS (SELECT doc_id AS id1, lead(doc_id) OVER (ORDER BY doc_id) AS id2 FROM t),
+o AS (SELECT id1, id2, count(*) AS ko, sum(least(a.cnt, c.cnt)) AS mo FROM nx JOIN bag a ON a.doc_id = id1 JOIN bag c
+      ON c.doc_id = id2 AND a.token = c.token GROUP BY id1, id2)""") + """
+        SELECT nx.id1, nx.id2, coalesce(ko, 0)::DOUBLE / (t1.k + t2.k - coalesce(ko, 0)) AS key_jaccard,
                coalesce(mo, 0)::DOUBLE / (t1.n + t2.n - coalesce(mo, 0)) AS jaccard
-        FROM t t1 JOIN t t2 ON t2.doc_id = t1.doc_id + 1 LEFT JOIN o ON o.id1 = t1.doc_id""",
+        FROM nx JOIN t t1 ON t1.doc_id = nx.id1 JOIN t t2 ON t2.doc_id = nx.id2 LEFT JOIN o ON o.id1 = nx.id1""",
     "pairs_by_project": _w(TOKS, BAG, PAIRS) + """SELECT CASE WHEN d1.source = d2.source THEN 'within' ELSE 'across' END AS scope,
         count(*) AS pairs FROM pairs JOIN documents d1 ON d1.doc_id = id1 JOIN documents d2 ON d2.doc_id = id2 GROUP BY 1""",
     "leader_pairs": _w(TOKS, BAG, PAIRS, LEADER) + "SELECT leader, duplicate FROM lp",
@@ -272,17 +287,15 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
         SELECT round(avg(CASE WHEN length(p) = 0 OR length(g) = 0 THEN 0
                               ELSE CAST(round_even(100.0::DOUBLE * (length(p) + length(g) - levenshtein(p, g)) / (length(p) + length(g)), 0) AS INTEGER) END), 2)
                AS edit_similarity FROM nrm""",
-    # the longest common subsequence as the longest increasing chain of places that match, each new place
-    # replacing the least chain end that is not before it
-    "edit_similarity": _w(FILES, PREDS, """nrm AS (SELECT array_to_string(list_filter(string_split_regex(split_part(pred, '</s>', 1), '\\s+'), lambda x: x <> ''), ' ') AS p,
-                array_to_string(list_filter(string_split_regex(gold, '\\s+'), lambda x: x <> ''), ' ') AS g FROM preds),
-            places AS (SELECT p, g, flatten(list_transform(pc, lambda c: list_filter(range(len(gc), 0, -1), lambda j: gc[j] = c))) AS js
-                       FROM (SELECT DISTINCT p, g, string_split(p, '') AS pc, string_split(g, '') AS gc FROM nrm)),
-            lcs AS (SELECT p, g, len(list_reduce(list_prepend([]::BIGINT[], list_transform(js, lambda j: [j])), lambda ends, j: list_concat(
-                        list_filter(ends, lambda e: e < j[1]), j, list_filter(ends, lambda e: e >= j[1])[2:]))) AS l FROM places)""") + """
-        SELECT round(avg(CASE WHEN length(p) = 0 OR length(g) = 0 THEN 0
-                              ELSE CAST(round_even(100.0::DOUBLE * (2 * l) / (length(p) + length(g)), 0) AS INTEGER) END), 2)
-               AS edit_similarity FROM nrm JOIN lcs USING (p, g)""",
+    "edit_similarity": _w(FILES, PREDS, normal("split_part(pred, '</s>', 1)", "gold"), LCS) + f"""
+        SELECT round(avg({RATIO}), 2) AS edit_similarity FROM nrm JOIN lcs USING (p, g)""",
+    "older_scores": _w(FILES, PREDS, normal(
+        "split_part(CASE WHEN instr(pred, '{') > 0 THEN substring('0' || pred, 1, instr(pred, '{')) ELSE '0' || pred END, '</s>', 1)",
+        "'0' || gold"), LCS) + f"""
+        SELECT round(avg(CASE WHEN p = g THEN 1 ELSE 0 END) * 100, 2) AS exact_match, round(avg({RATIO}), 2) AS edit_similarity
+        FROM nrm JOIN lcs USING (p, g)""",
+    "window_totals": _w(SEQS) + """SELECT count(*) AS lines,
+        CAST(sum(CASE WHEN len(tokens) < 997 THEN 1 ELSE (len(tokens) - 997) // 897 + 1 END) AS BIGINT) AS windows FROM stok""",
     "zip_rows": _w(FILES, PREDS) + """SELECT row_number() OVER (ORDER BY example_id) - 1 AS row_index, example_id, example_id AS gold_id FROM preds""",
     "seeded_shuffle": "SELECT doc_id, md5('42:' || CAST(doc_id AS VARCHAR)) AS shuffle_key FROM documents",
     "fixed_batches": _w(FILES, PREDS) + """SELECT example_id, row_index, row_index // 8 AS batch
