@@ -18,7 +18,8 @@ the file at hand holds a merge vocabulary with scores, which is used here as
 a unigram vocabulary.
 
 Defined results: null and empty texts have no tokens; repeated rows are
-counted one by one; extra columns are ignored.
+counted one by one; a very long unbroken text is one segment, of which only the
+length of the longest piece is held beside the text and the automaton's copy of it; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -70,33 +71,40 @@ class Counter:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.unknown = min((s for _, s in vocabulary.pieces), default=0.0) - UNKNOWN_PENALTY
+        self.longest = max((len(p) for p, _ in vocabulary.pieces), default=1)
         self.kept: dict[str, int] = {}
 
     def segment(self, s: str) -> int:
-        n = len(s)
-        ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        for last, piece in self.automaton.iter(s):
-            ending[last + 1].append(piece)
-        score, count = [0.0] * (n + 1), [0] * (n + 1)
-        unknown_before = [False] * (n + 1)
-        for end in range(1, n + 1):
+        # no piece reaches further back than the longest one, so that much is kept, in a ring
+        size = min(len(s), self.longest) + 1
+        score, count, unknown_before = [0.0] * size, [0] * size, [False] * size
+        matches = self.automaton.iter(s)  # in order of their ends
+        last, piece = next(matches, (-1, None))
+        for end in range(1, len(s) + 1):
+            ending = []
+            while last + 1 == end:
+                ending.append(piece)
+                last, piece = next(matches, (-1, None))
             best, pieces, by_unknown = None, 0, False
             single = False
-            for length, value in sorted(ending[end], reverse=True):  # earlier starts first
+            for length, value in sorted(ending, reverse=True):  # earlier starts first
                 single |= length == 1
-                total = score[end - length] + value
+                start = (end - length) % size
+                total = score[start] + value
                 if best is None or total > best:
-                    best, pieces, by_unknown = total, count[end - length] + 1, False
+                    best, pieces, by_unknown = total, count[start] + 1, False
             if not single:
-                total = score[end - 1] + self.unknown
+                before = (end - 1) % size
+                total = score[before] + self.unknown
                 if best is None or total > best:
                     if self.v.byte_fallback:
                         more = len(s[end - 1].encode())
                     else:  # neighbouring unknown characters are one piece
-                        more = 0 if unknown_before[end - 1] else 1
-                    best, pieces, by_unknown = total, count[end - 1] + more, True
-            score[end], count[end], unknown_before[end] = best, pieces, by_unknown
-        return count[n]
+                        more = 0 if unknown_before[before] else 1
+                    best, pieces, by_unknown = total, count[before] + more, True
+            at = end % size
+            score[at], count[at], unknown_before[at] = best, pieces, by_unknown
+        return count[len(s) % size]
 
     def count(self, text: str | None) -> int:
         if not text:

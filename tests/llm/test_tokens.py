@@ -55,6 +55,23 @@ def test_token_counts_equal_library(spark):
     assert tokencount.report(docs(spark, [])).count() == 0
 
 
+def test_long_unbroken_text_in_bounded_memory():
+    import tracemalloc
+
+    counter = tokencount.Counter(tokencount.Unigram.read(tokencount.default_tokenizer()))
+    library = Tokenizer(models.Unigram(vocab=[("<unk>", 0.0), *counter.v.pieces], unk_id=0, byte_fallback=False))
+    rng = random.Random(7)
+    for n in (1, 2, 30, 3000):  # the ring is shorter than the text, as long, and longer
+        text = "".join(rng.choice("theinganor") for _ in range(n))
+        assert counter.segment(text) == len(library.encode(text).ids)
+    text = "theinganor" * 40_000
+    tracemalloc.start()
+    assert counter.segment(text) > 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * len(text)  # the automaton's own copy of the text has four bytes for a character
+
+
 URLS = [None, "", "no scheme", "http://", "https://EXAMPLE.org/es/1", "http://a.example.org/en/12?x=/de/", "http://x.com",
         "http://notexample.org/es/", "http://fr.com/fr/", "http://com/de/#a", "http://a.net/b.org/", "http://u.net/x.zip",
         "http://u.net/login", "ftp://x.casino.net/a", "http://a.com?u=http://b.org/", "x\n://h.org/p\nq",
