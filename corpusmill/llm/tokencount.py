@@ -25,6 +25,7 @@ length of the longest piece is held beside the text and the automaton's copy of
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -35,6 +36,8 @@ from corpusmill.llm.common import add_columns, kept
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 KEPT_SEGMENTS = 300_000
+#: Longer segments are counted in bounded memory, and not kept.
+KEPT_CHARS = 64
 # Fixed values of the file format: types of pieces, and what an unknown piece scores below the lowest.
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 UNKNOWN_PENALTY = 10.0
@@ -74,37 +77,52 @@ class Counter:
         self.longest = max((len(p) for p, _ in vocabulary.pieces), default=1)
         self.kept: dict[str, int] = {}
 
-    def segment(self, s: str) -> int:
-        # no piece reaches further back than the longest one, so that much is kept, in a ring
-        size = min(len(s), self.longest) + 1
-        score, count, unknown_before = [0.0] * size, [0] * size, [False] * size
+    def ends(self, s: str) -> Iterable[list[tuple[int, float]]]:
+        """The pieces that end at each character; those of a long segment one character after the other."""
+        if len(s) <= KEPT_CHARS:
+            out: list[list[tuple[int, float]]] = [[] for _ in s]
+            for last, piece in self.automaton.iter(s):
+                out[last].append(piece)
+            return out
         matches = self.automaton.iter(s)  # in order of their ends
+        return self.streamed(len(s), matches)
+
+    @staticmethod
+    def streamed(n: int, matches) -> Iterator[list[tuple[int, float]]]:
         last, piece = next(matches, (-1, None))
-        for end in range(1, len(s) + 1):
+        for end in range(n):
             ending = []
-            while last + 1 == end:
+            while last == end:
                 ending.append(piece)
                 last, piece = next(matches, (-1, None))
+            yield ending
+
+    def segment(self, s: str) -> int:
+        score, count, unknown_before = [0.0], [0], [False]
+        gone, most = 0, self.longest + KEPT_CHARS  # no piece reaches further back than the longest one
+        for end, ending in enumerate(self.ends(s), 1):
             best, pieces, by_unknown = None, 0, False
             single = False
             for length, value in sorted(ending, reverse=True):  # earlier starts first
                 single |= length == 1
-                start = (end - length) % size
-                total = score[start] + value
+                total = score[end - length - gone] + value
                 if best is None or total > best:
-                    best, pieces, by_unknown = total, count[start] + 1, False
+                    best, pieces, by_unknown = total, count[end - length - gone] + 1, False
             if not single:
-                before = (end - 1) % size
-                total = score[before] + self.unknown
+                total = score[-1] + self.unknown
                 if best is None or total > best:
                     if self.v.byte_fallback:
                         more = len(s[end - 1].encode())
                     else:  # neighbouring unknown characters are one piece
-                        more = 0 if unknown_before[before] else 1
-                    best, pieces, by_unknown = total, count[before] + more, True
-            at = end % size
-            score[at], count[at], unknown_before[at] = best, pieces, by_unknown
-        return count[len(s) % size]
+                        more = 0 if unknown_before[-1] else 1
+                    best, pieces, by_unknown = total, count[-1] + more, True
+            score.append(best)
+            count.append(pieces)
+            unknown_before.append(by_unknown)
+            if len(score) > most:
+                gone += KEPT_CHARS
+                del score[:KEPT_CHARS], count[:KEPT_CHARS], unknown_before[:KEPT_CHARS]
+        return count[-1]
 
     def count(self, text: str | None) -> int:
         if not text:
@@ -116,7 +134,7 @@ class Counter:
             n = get(s)
             if n is None:
                 n = self.segment(s)
-                if len(s) <= 64:
+                if len(s) <= KEPT_CHARS:
                     if len(self.kept) >= KEPT_SEGMENTS:
                         self.kept.clear()
                     self.kept[s] = n
