@@ -13,7 +13,7 @@ fixed amount to the logit, so a task keeps one number pair for each word.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 from operator import eq
 
@@ -42,11 +42,10 @@ class Settings:
     out_rate: float = 0.1
     least_texts: int = 1
     adaptive: bool = False
-    each: int = 8  # segments of a text in one pass
+    each: int = 8  # segments of a class 0 text in one pass: all but one of them the likeliest for class 1
+    top: int = 3  # likeliest segments that a class 1 text stands for
     lower: bool = False
     segment: int = 0  # words in a segment; 0: the whole text is one
-    distinct: bool = False  # a segment's repeated words count once
-    prior: int = 0  # so many zero features join each average, so that few words are no extreme
     repeats: bool = False  # a feature for a word that equals the one before it
     seed: int = 13
 
@@ -63,12 +62,29 @@ def words_of(text: str | None, s: Settings) -> list[str]:
     return (text.lower() if s.lower else text).split() if text else []
 
 
-def segments(words: list[str], s: Settings) -> Iterator[list[str]]:
-    """The text's segments: even parts of about ``segment`` words; a text without words is one empty segment."""
-    n = max(1, round(len(words) / s.segment)) if s.segment else 1
-    for i in range(n):
-        part = words[len(words) * i // n:len(words) * (i + 1) // n]
-        yield list(dict.fromkeys(part)) if s.distinct else part
+def starts(words: int, s: Settings) -> np.ndarray:
+    """Where the segments of so many words start: even parts of about ``segment`` words, one at least."""
+    n = max(1, round(words / s.segment)) if s.segment else 1
+    return words * np.arange(n) // n
+
+
+@dataclass(frozen=True)
+class Example:
+    """The segments of a text, one after the other: features, their shares of the segment's
+    average, and the bounds."""
+
+    ids: np.ndarray
+    shares: np.ndarray
+    bounds: np.ndarray
+
+    def segment(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        part = slice(self.bounds[k], self.bounds[k + 1])
+        return self.ids[part], self.shares[part]
+
+    def whole(self) -> tuple[np.ndarray, np.ndarray]:
+        """The mean of all segments."""
+        ids, at = np.unique(self.ids, return_inverse=True)
+        return ids, np.bincount(at, self.shares, len(ids)) / (len(self.bounds) - 1)
 
 
 class Model:
@@ -81,24 +97,25 @@ class Model:
         self.out = np.zeros((settings.dim, 2))
         self.bias = np.zeros(2)
 
-    def examples(self, texts: list[str | None]) -> list[list[tuple[np.ndarray, np.ndarray]]]:
-        """The segments of each text as (features, their shares of the average)."""
+    def examples(self, texts: list[str | None]) -> list[Example]:
         s = self.s
         features: dict[str, list[int]] = {}
         data = []
         for t in texts:
+            words = words_of(t, s)
+            first = starts(len(words), s).tolist()
             mine = []
-            for seg in segments(words_of(t, s), s):
+            for a, b in zip(first, first[1:] + [len(words)]):
                 ids: list[int] = []
-                for w in seg:
+                for w in words[a:b]:
                     f = features.get(w)
                     if f is None:
                         f = features[w] = word_features(w, s)
                     ids += f
                 if s.repeats:
-                    ids += [0] * sum(map(eq, seg, seg[1:]))
+                    ids += [0] * sum(map(eq, words[a:b], words[a + 1:b]))
                 u, c = np.unique(np.array(ids, np.int64), return_counts=True)
-                mine.append((u, c / max(1, len(ids) + s.prior)))
+                mine.append((u, c / max(1, len(ids))))
             data.append(mine)
         # a bucket of fewer texts would only help to learn those by heart
         texts_with = np.zeros(s.buckets, np.int64)
@@ -106,18 +123,40 @@ class Model:
             texts_with[np.unique(np.concatenate([u for u, _ in mine]))] += 1
         common = texts_with >= s.least_texts
         self.rows[~common] = 0
-        return [[(u[common[u]], w[common[u]]) for u, w in mine] for mine in data]
+        return [Example(np.concatenate([u[common[u]] for u, _ in mine]),
+                        np.concatenate([w[common[u]] for u, w in mine]),
+                        np.cumsum([0] + [int(common[u].sum()) for u, _ in mine])) for mine in data]
 
     def fit(self, texts: list[str | None], labels: list[int]) -> "Model":
         return self.descend(self.examples(texts), labels)
 
-    def descend(self, data: list[list[tuple[np.ndarray, np.ndarray]]], labels: list[int]) -> "Model":
-        """Stochastic gradient descent over segments.
+    def gaps(self, x: Example) -> np.ndarray:
+        """Logit of class 1 over class 0 of each segment, without the bias."""
+        each = (self.rows[x.ids] @ (self.out[:, 1] - self.out[:, 0])) * x.shares
+        return np.diff(np.concatenate(([0.0], np.cumsum(each)))[x.bounds])
 
-        In a segmented model a text of class 1 stands, after the first pass,
-        for those of its segments that the model holds likelier than the rest:
-        a text is toxic by its passages, and clean as a whole.
+    def lesson(self, x: Example, y: int, first_pass: bool, rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
+        """What one pass learns from a text.
+
+        A text of several segments is averaged as a whole in the first pass,
+        which finds the features that texts of class 1 share.  After it, a text of
+        class 1 stands for its likeliest segments (it is toxic by its passages)
+        and one of class 0 for those of its segments that are likeliest mistaken.
         """
+        n, s = len(x.bounds) - 1, self.s
+        if n == 1:
+            return [(x.ids, x.shares)]
+        if first_pass:
+            return [x.whole()]
+        order = np.argsort(self.gaps(x), kind="stable")
+        if y == 1:
+            order = order[-s.top:]
+        elif n > s.each:
+            order = np.append(order[n - s.each + 1:], rng.choice(order[:n - s.each + 1]))
+        return [x.segment(k) for k in order]
+
+    def descend(self, data: list[Example], labels: list[int]) -> "Model":
+        """Stochastic gradient descent over whole texts or segments."""
         s, rng = self.s, np.random.default_rng(self.s.seed + 1)
         # a small sample is gone through more often
         epochs = max(s.epochs, min(25, -(-s.steps // max(1, len(data)))))
@@ -127,14 +166,8 @@ class Model:
             for i in rng.permutation(len(data)):
                 decay = 1 - step / total
                 step += 1
-                chosen, y = data[i], labels[i]
-                if len(chosen) > 1 and y == 1 and epoch:
-                    direction = self.out[:, 1] - self.out[:, 0]
-                    gap = [float((w @ self.rows[u]) @ direction) for u, w in chosen]
-                    chosen = [chosen[k] for k in np.argsort(gap)[-max(1, len(chosen) // 2):]]
-                if len(chosen) > s.each:
-                    chosen = [chosen[k] for k in rng.choice(len(chosen), s.each, False)]
-                for u, w in chosen:
+                y = labels[i]
+                for u, w in self.lesson(data[i], y, epoch == 0, rng):
                     if not len(u):
                         continue
                     rows = self.rows[u]
@@ -185,13 +218,22 @@ class Scorer(dict):
 
     def score(self, text: str | None) -> float:
         """Probability of class 1; the highest of the segments."""
-        best = -np.inf
-        for seg in segments(words_of(text, self.s), self.s):
-            total = sum(map(self.__getitem__, seg), 0j)
+        words = words_of(text, self.s)
+        first = starts(len(words), self.s)
+        if len(first) == 1:
+            total = sum(map(self.__getitem__, words), 0j)
+            if self.s.repeats:
+                total += self.same * sum(map(eq, words, words[1:]))
+            best = total.real / max(1.0, total.imag)
+        else:
+            values = np.fromiter(map(self.__getitem__, words), np.complex128, len(words))
             if self.s.repeats:
-                total += self.same * sum(map(eq, seg, seg[1:]))
-            best = max(best, total.real / max(1.0, total.imag + self.s.prior) + self.bias)
-        return float(1 / (1 + np.exp(-np.clip(best, -60, 60))))
+                again = np.fromiter(map(eq, words[1:], words), bool, len(words) - 1)
+                again[first[1:] - 1] = False
+                values[1:] += self.same * again
+            parts = np.add.reduceat(values, first)
+            best = (parts.real / np.maximum(1.0, parts.imag)).max()
+        return float(1 / (1 + np.exp(-np.clip(best + self.bias, -60, 60))))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: Callable, sample: tuple[int, int],
