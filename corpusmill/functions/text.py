@@ -12,6 +12,10 @@ EOS = "</s>"
 DECODER_ONLY = "<decoder-only>"
 BARE_SPACE = "Ġ"
 EOL_MARKER = "<EOL>"
+# White space, as members of a character class, as Python's str.split and
+# str.strip see it and as JavaScript's trim does.
+PY_WS = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+JS_WS = r"\t-\r\x{20}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
 
 
 def _c(c: Column | str) -> Column:
@@ -59,9 +63,9 @@ def repo_name(key: Column | str) -> Column:
         F.regexp_replace(k, r"^([^_]*)_", "$1/"))
 
 
-def nonblank(line: Column | str) -> Column:
+def nonblank(line: Column | str, ws: str = PY_WS) -> Column:
     """A line with at least one non-whitespace character (never bare trim)."""
-    return _c(line).rlike(r"\S")
+    return _c(line).rlike(f"[^{ws}]")
 
 
 def split_lines(content: Column | str) -> Column:
@@ -74,9 +78,9 @@ def reader_lines(content: Column | str) -> Column:
     return F.split(_c(content), "\r\n|\n|\r", -1)
 
 
-def strip_ws(s: Column | str) -> Column:
+def strip_ws(s: Column | str, ws: str = PY_WS) -> Column:
     """Remove leading and trailing whitespace (regex, not ``trim``)."""
-    return F.regexp_replace(_c(s), r"^\s+|\s+$", "")
+    return F.regexp_replace(_c(s), rf"^[{ws}]+|[{ws}]+\z", "")
 
 
 def normalise_ws(s: Column | str) -> Column:
@@ -87,7 +91,7 @@ def normalise_ws(s: Column | str) -> Column:
 def ws_tokens(s: Column | str) -> Column:
     """Whitespace tokens (Python ``str.split()``); native ``array_remove``
     drops the empty edge pieces (no interpreted lambda)."""
-    return F.array_remove(F.split(_c(s), r"\s+"), "")
+    return F.array_remove(F.split(_c(s), f"[{PY_WS}]+"), "")
 
 
 def drop_first_token(s: Column | str) -> Column:
@@ -98,7 +102,7 @@ def drop_first_token(s: Column | str) -> Column:
 
 def to_sequence(content: Column | str) -> Column:
     """PRJ10: '<s> ' + every non-blank line + ' </s> ' ... + ' </s>'."""
-    lines = F.filter(reader_lines(content), lambda x: x.rlike(r"\S"))
+    lines = F.filter(reader_lines(content), lambda x: nonblank(x, JS_WS))
     body = F.when(F.size(lines) > 0, F.concat(F.array_join(lines, " </s> "), F.lit(" </s> "))).otherwise(F.lit(""))
     return F.concat(F.lit("<s> "), body, F.lit(" </s>"))
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import cut_prediction, let, normalise_literals, normalise_ws, ws_tokens
+from corpusmill.functions.text import cut_prediction, let, normalise_literals, normalise_ws, strip_ws, ws_tokens
 
 #: Bits of a word; with the carry an addition stays below 2^63.
 WORD_BITS = 62
@@ -125,7 +125,7 @@ def prepare_predictions(preds: DataFrame, brace: str = "none", literals: bool =
     p = cut_prediction(pred_col, brace)
     g = F.col(gold_col)
     if literals:
-        p = normalise_literals(F.regexp_replace(p, r"^\s+|\s+$", ""))
+        p = normalise_literals(strip_ws(p))
         g = normalise_literals(g)
     return preds.withColumn("pred_cut", p).withColumn("gold_norm", g)
 

@@ -9,6 +9,7 @@ follow the Spark results.
 
 from __future__ import annotations
 
+from corpusmill.functions.text import JS_WS, PY_WS
 from corpusmill.operators.sequences import SEQ_TOKEN_PATTERN
 from corpusmill.operators.tokenize import CODE_TOKEN_PATTERN
 
@@ -72,7 +73,7 @@ split AS (SELECT s.set, r.repo_name, r.filename FROM repo2 r JOIN sets s USING (
 TASKS = SPLIT + """,
 tf AS (SELECT s.set, f.filename, f.doc_id, string_split(f.content, chr(10)) AS l
        FROM split s JOIN files f USING (filename) WHERE s.set IN ('validation', 'test')),
-tnb AS (SELECT *, list_filter(range(0, len(l)), lambda i: regexp_matches(l[i + 1], '\\S')) AS nb FROM tf),
+tnb AS (SELECT *, list_filter(range(0, len(l)), lambda i: regexp_matches(l[i + 1], '[^$JS]')) AS nb FROM tf),
 tk AS (SELECT *, CASE WHEN len(nb) = 0 THEN 0 ELSE greatest(1, least(5, floor(0.2::DOUBLE * len(nb))))::INTEGER END AS k FROM tnb),
 tsm AS (SELECT set, filename, doc_id, l,
                unnest(list_slice(list_sort(list_transform(nb, lambda i: {'r': md5('42:' || filename || ':' || CAST(i AS VARCHAR)), 'i': i})), 1, k)) AS c
@@ -80,12 +81,12 @@ tsm AS (SELECT set, filename, doc_id, l,
 tl AS (SELECT set, filename, doc_id, l, CAST(c.i AS INTEGER) AS line, l[c.i + 1] AS ln FROM tsm),
 tc AS (SELECT *, regexp_extract_all(ln, '.') AS cps FROM tl),
 ts AS (SELECT set, filename, doc_id, l, line, ln,
-              CAST(list_sort(list_transform(list_filter(range(0, len(cps)), lambda p: regexp_matches(cps[p + 1], '\\S')),
+              CAST(list_sort(list_transform(list_filter(range(0, len(cps)), lambda p: regexp_matches(cps[p + 1], '[^$JS]')),
                    lambda p: {'r': md5('42:' || filename || ':' || CAST(line AS VARCHAR) || ':' || CAST(p AS VARCHAR)), 'p': p}))[1].p AS INTEGER) AS start
        FROM tc),
 tasks AS (SELECT set, filename, doc_id, line, start,
                  array_to_string(l[1:line], chr(10)) || CASE WHEN line > 0 THEN chr(10) ELSE '' END || substring(ln, 1, start) AS leftContext,
-                 regexp_replace(substring(ln, start + 1), '^\\s+|\\s+$', '', 'g') AS groundTruth,
+                 regexp_replace(substring(ln, start + 1), '^[$JS]+|[$JS]+$', '', 'g') AS groundTruth,
                  array_to_string(l[line + 2:len(l)], chr(10)) AS rightContext
           FROM ts)"""
 
@@ -100,11 +101,11 @@ preds AS (SELECT doc_id * 1000 + line AS example_id,
 
 SEQS = f"""seqs AS (
   SELECT doc_id, '<s> ' || array_to_string(list_transform(
-           list_filter(string_split_regex(text, '\\r\\n|\\n|\\r'), lambda x: regexp_matches(x, '\\S')),
+           list_filter(string_split_regex(text, '\\r\\n|\\n|\\r'), lambda x: regexp_matches(x, '[^$JS]')),
            lambda x: x || ' </s> '), '') || ' </s>' AS seq
   FROM documents),
 stoks AS (
-  SELECT doc_id, seq, array_to_string(list_filter(string_split_regex(seq, '\\s+'), lambda x: x <> '')[2:], ' ') AS data
+  SELECT doc_id, seq, array_to_string(list_filter(string_split_regex(seq, '[$PY]+'), lambda x: x <> '')[2:], ' ') AS data
   FROM seqs),
 stok AS (SELECT doc_id, data, list_filter(regexp_extract_all(data, '{SP}'), lambda t: t <> 'Ġ') AS tokens FROM stoks)"""
 
@@ -134,7 +135,7 @@ def _w(*ctes: str) -> str:
 
 def normal(pred: str, gold: str) -> str:
     """Predictions (p) and truths (g) with single blanks."""
-    one = lambda x: f"array_to_string(list_filter(string_split_regex({x}, '\\\\s+'), lambda x: x <> ''), ' ')"
+    one = lambda x: f"array_to_string(list_filter(string_split_regex({x}, '[$PY]+'), lambda x: x <> ''), ' ')"
     return f"nrm AS (SELECT {one(pred)} AS p, {one(gold)} AS g FROM preds)"
 
 
@@ -215,11 +216,11 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
     "split_summary": _w(FILES, SPLIT) + "SELECT set, count(DISTINCT repo_name) AS repositories, count(*) AS files FROM split GROUP BY set",
     "nonblank_line_positions": """SELECT doc_id, CAST(len(l) AS INTEGER) AS n_lines, CAST(len(nb) AS INTEGER) AS n_nonblank,
         CAST(nb[1] AS INTEGER) AS first_nonblank
-        FROM (SELECT doc_id, l, list_filter(range(0, len(l)), lambda i: regexp_matches(l[i + 1], '\\S')) AS nb
+        FROM (SELECT doc_id, l, list_filter(range(0, len(l)), lambda i: regexp_matches(l[i + 1], '[^$JS]')) AS nb
               FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))""",
     "candidate_starts": """SELECT doc_id, line_no, CAST(len(st) AS INTEGER) AS n_starts, CAST(st[1] AS INTEGER) AS first_start,
         CAST(st[-1] AS INTEGER) AS last_start
-        FROM (SELECT doc_id, line_no, list_filter(range(0, len(cps)), lambda p: regexp_matches(cps[p + 1], '\\S')) AS st
+        FROM (SELECT doc_id, line_no, list_filter(range(0, len(cps)), lambda p: regexp_matches(cps[p + 1], '[^$JS]')) AS st
               FROM (SELECT doc_id, line_no, regexp_extract_all(line, '.') AS cps
                     FROM (SELECT doc_id, unnest(l) AS line, CAST(unnest(range(0, len(l))) AS INTEGER) AS line_no
                           FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))))
@@ -227,7 +228,7 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
     "sample_lines": _w(FILES) + """SELECT filename, CAST(c.i AS INTEGER) AS line FROM (
         SELECT filename, unnest(list_slice(list_sort(list_transform(nb, lambda i: {'r': md5('42:' || filename || ':' || CAST(i AS VARCHAR)), 'i': i})), 1, k)) AS c
         FROM (SELECT filename, nb, CASE WHEN len(nb) = 0 THEN 0 ELSE greatest(1, least(5, floor(0.2::DOUBLE * len(nb))))::INTEGER END AS k
-              FROM (SELECT filename, list_filter(range(0, len(l)), lambda i: regexp_matches(l[i + 1], '\\S')) AS nb
+              FROM (SELECT filename, list_filter(range(0, len(l)), lambda i: regexp_matches(l[i + 1], '[^$JS]')) AS nb
                     FROM (SELECT filename, string_split(content, chr(10)) AS l FROM files))))""",
     "line_completion_tasks": _w(FILES, TASKS) + """SELECT set, filename, line, start, groundTruth,
         md5(leftContext) AS left_md5, md5(rightContext) AS right_md5,
@@ -237,7 +238,7 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
         LEFT JOIN (SELECT set, count(*) AS taskCount FROM tasks GROUP BY set) t USING (set)""",
     "train_sequences": _w(SEQS) + "SELECT doc_id, CAST(length(seq) AS INTEGER) AS seq_len, md5(seq) AS seq_md5 FROM seqs",
     "normalise_ws": """SELECT doc_id, CAST(length(nw) AS INTEGER) AS norm_len, md5(nw) AS norm_md5
-        FROM (SELECT doc_id, array_to_string(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> ''), ' ') AS nw FROM documents)""",
+        FROM (SELECT doc_id, array_to_string(list_filter(string_split_regex(text, '[$PY]+'), lambda x: x <> ''), ' ') AS nw FROM documents)""",
     "sequence_tokens": _w(SEQS) + "SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n_tokens, md5(data) AS data_md5 FROM stok",
     "eol_marker": """SELECT doc_id, md5(replace(replace(text, chr(10), '<EOL>'), '<EOL>', '</s>')) AS eol_md5 FROM documents""",
     "train_windows": _w(WINDOWS) + """SELECT doc_id, CAST(window_index AS INTEGER) AS window_index, CAST(window_start AS INTEGER) AS window_start,
@@ -257,7 +258,7 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
     "vocab_encode": _w(VOCAB) + "SELECT token, row_number() OVER (ORDER BY fs.d, fs.p) - 1 AS token_id FROM firsts",
     "validation_features": _w(SEQS, OCC, FILES, PREDS, f"""lasts AS (SELECT example_id AS k, gold, all_toks[greatest(len(all_toks) - 932, 1):] AS toks
             FROM (SELECT example_id, gold, list_filter(regexp_extract_all(array_to_string(list_filter(string_split_regex(
-                replace(leftContext, chr(10), ' </s> ') || ' </s>', '\\s+'), lambda x: x <> ''), ' '), '{SP}'), lambda t: t <> 'Ġ') AS all_toks
+                replace(leftContext, chr(10), ' </s> ') || ' </s>', '[$PY]+'), lambda x: x <> ''), ' '), '{SP}'), lambda t: t <> 'Ġ') AS all_toks
                 FROM preds))""", dict_ids("lasts")) + """
         SELECT lasts.k AS example_id, CAST(3 + len(toks) AS INTEGER) AS n_real, 936 AS n_ids,
         md5('0,4,2' || coalesce(',' || ids, '') || repeat(',1', 933 - len(toks))) AS ids_md5, md5(gold) AS truth_md5
@@ -279,11 +280,11 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
             '<string:' || text || '> = <NUM_LIT> + <STR_LIT> + <char_LIT:' || CAST(doc_id AS VARCHAR) || '>',
             '<string', '<STR_LIT'), '<number', '<NUM_LIT'), '<char', '<CHAR_LIT'), '<NUM_LIT>', '0'), '<STR_LIT>', ''), '<CHAR_LIT>', ''),
           '<(STR|NUM|CHAR)_LIT:(.*?)>', '\\2', 'gs') AS normalised FROM documents""",
-    "exact_match": _w(FILES, PREDS) + """SELECT round(avg(CASE WHEN list_filter(string_split_regex(split_part(pred, '</s>', 1), '\\s+'), lambda x: x <> '')
-                                    = list_filter(string_split_regex(gold, '\\s+'), lambda x: x <> '') THEN 1 ELSE 0 END) * 100, 2) AS exact_match
+    "exact_match": _w(FILES, PREDS) + """SELECT round(avg(CASE WHEN list_filter(string_split_regex(split_part(pred, '</s>', 1), '[$PY]+'), lambda x: x <> '')
+                                    = list_filter(string_split_regex(gold, '[$PY]+'), lambda x: x <> '') THEN 1 ELSE 0 END) * 100, 2) AS exact_match
         FROM preds""",
-    "edit_similarity_native": _w(FILES, PREDS, """nrm AS (SELECT array_to_string(list_filter(string_split_regex(split_part(pred, '</s>', 1), '\\s+'), lambda x: x <> ''), ' ') AS p,
-                array_to_string(list_filter(string_split_regex(gold, '\\s+'), lambda x: x <> ''), ' ') AS g FROM preds)""") + """
+    "edit_similarity_native": _w(FILES, PREDS, """nrm AS (SELECT array_to_string(list_filter(string_split_regex(split_part(pred, '</s>', 1), '[$PY]+'), lambda x: x <> ''), ' ') AS p,
+                array_to_string(list_filter(string_split_regex(gold, '[$PY]+'), lambda x: x <> ''), ' ') AS g FROM preds)""") + """
         SELECT round(avg(CASE WHEN length(p) = 0 OR length(g) = 0 THEN 0
                               ELSE CAST(round_even(100.0::DOUBLE * (length(p) + length(g) - levenshtein(p, g)) / (length(p) + length(g)), 0) AS INTEGER) END), 2)
                AS edit_similarity FROM nrm""",
@@ -330,6 +331,8 @@ ORACLE_SQL.update({
     "clusters_roundtrip": _w(TOKS, BAG, PAIRS, COMPONENTS) + "SELECT cluster_id, node AS member FROM comp",
     "sequences_roundtrip": _w(SEQS) + "SELECT md5(data) AS source_md5, CAST(length(data) AS INTEGER) AS source_len FROM stoks",
     "nonblank_lines": """SELECT value FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)
-        WHERE regexp_matches(value, '\\S')""",
-    "predictions_sink": _w(FILES, PREDS) + """SELECT regexp_replace(pred, '^\\s+|\\s+$', '', 'g') AS value FROM preds""",
+        WHERE regexp_matches(value, '[^$JS]')""",
+    "predictions_sink": _w(FILES, PREDS) + """SELECT regexp_replace(pred, '^[$PY]+|[$PY]+$', '', 'g') AS value FROM preds""",
 })
+# the statements name the white space of the two languages inside character classes
+ORACLE_SQL.update({k: v.replace("$PY", PY_WS).replace("$JS", JS_WS) for k, v in ORACLE_SQL.items()})

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
+from corpusmill.operators import sequences as SQ
 from corpusmill.operators import tasks as TK
 from corpusmill.operators import tokenize as TOK
 
@@ -33,6 +34,28 @@ def test_to_sequence_blank_file(spark):
     assert one(spark, X.to_sequence("v"), "a\n\nb") == "<s> a </s> b </s>  </s>"
 
 
+# what JavaScript's trim takes: Python's white space without five controls, with the byte order mark
+JS_BLANKS = "".join(c for c in map(chr, range(0x10000)) if c.isspace() and c not in "\x1c\x1d\x1e\x1f\x85") + "\ufeff"
+
+
+@pytest.mark.parametrize("ws,strip", [(X.PY_WS, str.strip), (X.JS_WS, lambda s: s.strip(JS_BLANKS))])
+def test_unicode_white_space(spark, ws, strip):
+    chars = [chr(k) for k in range(0x10000) if not 0xd800 <= k < 0xe000]
+    df = spark.createDataFrame([(c, f"{c}a{c}b{c}") for c in chars], "c string, v string")
+    for r in df.select("c", "v", X.nonblank("c", ws).alias("n"), X.strip_ws("v", ws).alias("s")).collect():
+        assert r.n == bool(strip(r.c)) and r.s == strip(r.v), hex(ord(r.c))
+
+
+def test_unicode_words_and_lines(spark):
+    text = "<s>\u00a0a\u2003b\x85c\x1cd\ufeff\u3000\x0b</s>"
+    assert one(spark, X.normalise_ws("v"), text) == " ".join(text.split())
+    assert one(spark, X.drop_first_token("v"), text) == " ".join(text.split()[1:])
+    assert one(spark, SQ.sequence_token_array("v"), text) == one(spark, SQ.seq_tokens(X.drop_first_token("v")), text)
+    assert one(spark, TK.nonblank_line_indices("v"), "\u00a0\n\x85\n\ufeff\t\nx\u2028") == [1, 3]
+    assert one(spark, TK.candidate_starts("v"), "\u00a0x\u3000\x1cy") == [1, 3, 4]
+    assert one(spark, X.to_sequence("v"), "\u2003\nx\n\u00a0") == "<s> x </s>  </s>"
+
+
 def test_normalise_ws_and_drop_first(spark):
     assert one(spark, X.normalise_ws("v"), "  a \t b\n c ") == "a b c"
     assert one(spark, X.drop_first_token("v"), "<s> a  b </s>") == "a b </s>"
