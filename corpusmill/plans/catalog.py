@@ -252,6 +252,17 @@ def q_normalise_ws(spark, sf):
     return f.select("doc_id", F.length(n).alias("norm_len"), F.md5(n).alias("norm_md5"))
 
 
+def q_unicode_words(spark, sf):
+    """Words and lines of the documents, whose blanks, full stops and letters e stand as white
+    space beyond ASCII: two that both languages know, and one that is Python's alone."""
+    v = F.translate("content", " .e", "\u00a0\u2003\u0085")
+    n = X.normalise_ws(v)
+    return S.files(spark, sf).select(
+        "doc_id", F.length(n).alias("norm_len"), F.md5(n).alias("norm_md5"),
+        F.size(TK.nonblank_line_indices(v)).alias("n_nonblank"),
+        F.length(X.strip_ws(v)).alias("python_len"), F.length(X.strip_ws(v, X.JS_WS)).alias("script_len"))
+
+
 def q_sequence_tokens(spark, sf):
     t = Q.sequence_tokens(_seqs(spark, sf))
     return t.select(F.col("id").alias("doc_id"), F.size("tokens").alias("n_tokens"),

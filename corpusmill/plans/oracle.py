@@ -239,6 +239,12 @@ hm AS (SELECT l, n, CASE WHEN n > 2 THEN n // 2 ELSE 0 END AS mid FROM hl)""") +
     "train_sequences": _w(SEQS) + "SELECT doc_id, CAST(length(seq) AS INTEGER) AS seq_len, md5(seq) AS seq_md5 FROM seqs",
     "normalise_ws": """SELECT doc_id, CAST(length(nw) AS INTEGER) AS norm_len, md5(nw) AS norm_md5
         FROM (SELECT doc_id, array_to_string(list_filter(string_split_regex(text, '[$PY]+'), lambda x: x <> ''), ' ') AS nw FROM documents)""",
+    "unicode_words": """SELECT doc_id, CAST(length(nw) AS INTEGER) AS norm_len, md5(nw) AS norm_md5,
+        CAST(len(list_filter(string_split(js, chr(10)), lambda x: regexp_matches(x, '[^\\s\\x0b]'))) AS INTEGER) AS n_nonblank,
+        CAST(length(regexp_replace(py, '^[\\s\\x0b]+|[\\s\\x0b]+$', '', 'g')) AS INTEGER) AS python_len,
+        CAST(length(regexp_replace(js, '^[\\s\\x0b]+|[\\s\\x0b]+$', '', 'g')) AS INTEGER) AS script_len
+        FROM (SELECT *, array_to_string(list_filter(string_split_regex(py, '[\\s\\x0b]+'), lambda x: x <> ''), ' ') AS nw
+              FROM (SELECT doc_id, translate(text, '.e', '  ') AS py, translate(text, '.', ' ') AS js FROM documents))""",
     "sequence_tokens": _w(SEQS) + "SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n_tokens, md5(data) AS data_md5 FROM stok",
     "eol_marker": """SELECT doc_id, md5(replace(replace(text, chr(10), '<EOL>'), '<EOL>', '</s>')) AS eol_md5 FROM documents""",
     "train_windows": _w(WINDOWS) + """SELECT doc_id, CAST(window_index AS INTEGER) AS window_index, CAST(window_start AS INTEGER) AS window_start,
