@@ -14,7 +14,9 @@ MapReduce form) expressed with DataFrame calls only:
 3. candidates: the rarest-token *prefix* of every representative joined on
    (token id, occurrence, length band) -- an equi-join, never a cross join;
    length and positional filters run on the aggregated candidate pairs;
-4. verification with native array functions (set overlap) and a map merge
+4. where token arrays would have to be shuffled, a lower bound of the difference
+   from parity bitmaps of 128 bytes first drops most candidates;
+5. verification with native array functions (set overlap) and a map merge
    (multiset overlap) on the few survivors.
 
 The output is exact: the filters only drop pairs that cannot pass.
@@ -200,10 +202,57 @@ def candidate_pairs(reps: DataFrame, key_threshold: float, threshold: float) ->
     return grouped.where(bound >= need).select("x", "y")
 
 
-# Fixed bound (bytes of key ids) under which the representatives' key arrays
-# are broadcast for verification; above it they are shuffle-joined.
+# Fixed bound (bytes) under which the representatives' bitmaps, and their key
+# arrays, are broadcast; above it they are shuffle-joined.
 VERIFY_BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Fixed width of a parity bitmap in words of 64 bits.
+SKETCH_WORDS = 16
+
+
+def parity_sketches(reps: DataFrame, multiset: bool, words: int = SKETCH_WORDS) -> DataFrame:
+    """(id, s, w0, w1, ...): size and parity bitmap of each representative's elements.
+
+    Every element is hashed to one of 64 * words bits; a bit says whether an
+    odd number of elements fell on it.  An element of both records flips the
+    same bit in both, so the bits in which two bitmaps differ are at most as
+    many as the elements in which the records differ.
+    """
+    size = F.col("n") if multiset else F.col("k")
+    e = reps.select(F.col("rep").alias("id"), size.alias("s"), F.explode(_elements(multiset)).alias("e"))
+    e = e.select("id", "s", F.pmod(F.xxhash64("e.tid", "e.occ"), F.lit(64 * words)).cast("int").alias("bit"))
+    # shiftleft takes its distance modulo 64, so the low six bits of the number count
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))
+    word = F.floor(F.col("bit") / 64)
+    return e.groupBy("id").agg(F.first("s").alias("s"), *[
+        F.bit_xor(F.when(word == w, one).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in range(words)])
+
+
+def difference_filter(cands: DataFrame, reps: DataFrame, key_threshold: float, threshold: float,
+                      words: int = SKETCH_WORDS, broadcast_bytes: int = VERIFY_BROADCAST_BYTES) -> DataFrame:
+    """Candidates (x, y) whose records may be similar enough by their parity bitmaps.
+
+    Records of sizes a and b that reach the threshold differ in at most
+    a + b - 2 * need elements; a pair whose bitmaps differ in more bits cannot
+    pass.  The bitmaps (a fixed 8 * words bytes, whatever the record) are joined to the
+    grouped candidates, not carried by every row of the prefix join.
+    """
+    multiset = key_threshold <= 0.0
+    th = threshold if multiset else key_threshold
+    sketches = parity_sketches(reps, multiset, words)
+    if reps.count() * (8 * words + 24) <= broadcast_bytes:
+        sketches = F.broadcast(sketches)
+    side = lambda end: sketches.select(
+        F.col("id").alias(end), F.col("s").alias("s" + end), *[F.col(f"w{w}").alias(f"{end}{w}") for w in range(words)])
+    differ = sum((F.bit_count(F.col(f"x{w}").bitwiseXOR(F.col(f"y{w}"))) for w in range(words)), F.lit(0))
+    both = F.col("sx") + F.col("sy")
+    need = F.ceil(both * F.lit(th / (1 + th)) - F.lit(EPS))
+    return cands.join(side("x"), "x").join(side("y"), "y").where(differ <= both - 2 * need).select("x", "y")
+
+
+def _key_bytes(reps: DataFrame) -> int:
+    return 8 * (reps.agg(F.sum("k")).first()[0] or 0)
+
 
 def verify_pairs(cands: DataFrame, reps: DataFrame, key_threshold: float,
                  threshold: float, broadcast_bytes: int = VERIFY_BROADCAST_BYTES) -> DataFrame:
@@ -217,8 +266,7 @@ def verify_pairs(cands: DataFrame, reps: DataFrame, key_threshold: float,
     shuffle.
     """
     keys = reps.select("rep", F.col("entries.tid").alias("keys"), "k")
-    total_keys = reps.agg(F.sum("k")).first()[0] or 0
-    if total_keys * 8 <= broadcast_bytes:
+    if _key_bytes(reps) <= broadcast_bytes:
         keys = F.broadcast(keys)
     a = keys.select(F.col("rep").alias("x"), F.col("keys").alias("xa"), F.col("k").alias("ka"))
     b = keys.select(F.col("rep").alias("y"), F.col("keys").alias("yb"), F.col("k").alias("kb"))
@@ -324,7 +372,8 @@ def unique_ids(docs: DataFrame, id_col: str = "id", on_duplicate: str = "raise",
 def near_duplicates(docs: DataFrame, id_col: str = "id", tokens_col: str = "tokens",
                     key_threshold: float = 0.5, threshold: float = 0.5,
                     minimum: int = MIN_TOKENS, on_duplicate: str = "raise",
-                    order_col: str | None = None) -> NearDuplicates:
+                    order_col: str | None = None,
+                    broadcast_bytes: int = VERIFY_BROADCAST_BYTES) -> NearDuplicates:
     """JN1 in compact form.  Ids must be unique, see ``unique_ids``."""
     if not (0.0 <= key_threshold <= 1.0 and 0.0 <= threshold <= 1.0):
         raise ValueError("thresholds must be within [0, 1]")
@@ -332,7 +381,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "id", tokens_col: str = "toke
     sig = signatures(docs, id_col, tokens_col, minimum)
     reps, members = collapse_copies(sig)
     cands = candidate_pairs(reps, key_threshold, threshold)
-    pairs = verify_pairs(cands, reps, key_threshold, threshold)
+    if _key_bytes(reps) > broadcast_bytes:  # the same pairs either way: it saves the shuffle of whole arrays
+        cands = difference_filter(cands, reps, key_threshold, threshold, broadcast_bytes=broadcast_bytes)
+    pairs = verify_pairs(cands, reps, key_threshold, threshold, broadcast_bytes)
     pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
     return NearDuplicates(pairs, members, reps)
 

@@ -237,3 +237,26 @@ def test_pairs_by_project_are_counted_not_built(spark, monkeypatch):
         want[scope] = want.get(scope, 0) + 1
     monkeypatch.setattr(N.NearDuplicates, "all_pairs", None)
     assert want and {r.scope: r.pairs for r in N.pairs_by_project(found, df).collect()} == want
+
+
+@pytest.mark.parametrize("kt,t,broadcast_bytes", [(0.5, 0.5, 1 << 26), (0.5, 0.5, 0), (0.0, 0.6, 1 << 26)])
+def test_parity_bitmaps_bound_the_difference(spark, kt, t, broadcast_bytes):
+    """No bitmap shows more differences than the records have; the filter keeps every similar pair and drops others."""
+    rng = random.Random(5)
+    docs = random_corpus(17) | {100 + i: [f"w{rng.randrange(400)}" for _ in range(60)] for i in range(20)}
+    multiset = kt <= 0.0
+    nd = N.near_duplicates(docs_df(spark, docs), key_threshold=kt, threshold=t)
+    bits = {r.id: (r.s, r[2:]) for r in N.parity_sketches(nd.reps, multiset, 4).collect()}
+    bags = {i: Counter(docs[i]) if multiset else Counter(set(docs[i])) for i in bits}
+    for a, b in itertools.combinations(bits, 2):
+        assert bits[a][0] == bags[a].total()
+        true = ((bags[a] - bags[b]) + (bags[b] - bags[a])).total()
+        seen = sum(bin((u ^ v) & (1 << 64) - 1).count("1") for u, v in zip(bits[a][1], bits[b][1]))
+        assert seen <= true and (seen - true) % 2 == 0
+    every = spark.createDataFrame([(a, b) for a, b in itertools.combinations(sorted(bits), 2)], "x long, y long")
+    kept = {tuple(r) for r in N.difference_filter(every, nd.reps, kt, t, broadcast_bytes=broadcast_bytes).collect()}
+    similar = {(r.id1, r.id2) for r in nd.rep_pairs.collect()}
+    shuffled = N.near_duplicates(docs_df(spark, docs), key_threshold=kt, threshold=t, broadcast_bytes=0).rep_pairs
+    assert "bit_count" in shuffled._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.id1, r.id2) for r in shuffled.collect()} == similar
+    assert similar and similar <= kept and len(kept) < every.count() / 2
