@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators.neardup import salted_join_sides
+from corpusmill.operators.ordering import with_row_index
 from corpusmill.session import release, reliable_checkpoint
 
 # Fixed bound: a label shared by more nodes than this is salted in the
@@ -170,7 +171,7 @@ def cluster_sizes(components: DataFrame) -> DataFrame:
 
 
 def leader_status(edges: DataFrame, src: str = "src", dst: str = "dst",
-                  local_edges: int = LOCAL_EDGES) -> DataFrame:
+                  local_edges: int = LOCAL_EDGES, batch_edges: int = LOCAL_EDGES) -> DataFrame:
     """JN5: greedy assignment in id order, settled in rounds.
 
     Sequential rule: scanning files by id, a file not yet marked becomes a
@@ -178,25 +179,35 @@ def leader_status(edges: DataFrame, src: str = "src", dst: str = "dst",
     duplicate as soon as some earlier neighbour is a leader, and a leader
     once all earlier neighbours are duplicates.  Output (node, is_leader).
 
-    Only undecided nodes and the edges that can still decide them stay in the
-    next round.  A node with exactly one undecided earlier neighbour is that
-    neighbour's opposite, so such runs are shortened by jumping along them
-    with a parity until their head is met: a chain takes a logarithmic number
-    of jumps, not a round for each link.  A graph of at most ``local_edges``
-    edges is settled by one task.
+    Nodes are numbered in id order once.  A round hands the statuses found so
+    far on to later neighbours; only undecided nodes and the edges that can
+    still decide them stay.  Then the earliest undecided nodes, as many as have
+    at most ``batch_edges`` edges among them, are settled by one task, however
+    their edges alternate: the number of rounds follows the number of such
+    batches, not the depth of the graph.  Runs of nodes with one earlier
+    neighbour behind the batch are shortened by jumping along them.  A graph of
+    at most ``local_edges`` edges is settled by one task.
     """
-    e = reliable_checkpoint(symmetrise(edges, src, dst).where(F.col("src") < F.col("dst")))
-    if e.count() <= local_edges:
-        return reliable_checkpoint(_local(e, _greedy_leaders, "boolean"))
-    nodes = (e.select(F.col("src").alias("node")).unionByName(e.select(F.col("dst").alias("node")))
+    given = reliable_checkpoint(symmetrise(edges, src, dst).where(F.col("src") < F.col("dst")))
+    if given.count() <= local_edges:
+        return reliable_checkpoint(_local(given, _greedy_leaders, "boolean"))
+    names = (given.select(F.col("src").alias("name")).unionByName(given.select(F.col("dst").alias("name")))
              .distinct())
-    firsts = nodes.join(e.select(F.col("dst").alias("node")), "node", "left_anti")
-    fresh = reliable_checkpoint(firsts.select("node", F.lit(True).alias("is_leader")))
+    numbers = reliable_checkpoint(with_row_index(names, [F.col("name")], "node"))
+    live = given
+    for end in ("src", "dst"):
+        target = numbers.select(F.col("name").alias(end), F.col("node").alias("_node"))
+        big, small, keys = _hot_sides(live, target, end, "dst" if end == "src" else "src")
+        live = big.join(small, keys).withColumn(end, F.col("_node")).select("src", "dst")
+    live = reliable_checkpoint(live)
+    release(given)
+    firsts = numbers.select("node").join(live.select(F.col("dst").alias("node")), "node", "left_anti")
+    fresh = reliable_checkpoint(firsts.withColumn("is_leader", F.lit(True)))
     decided = [fresh]
-    live = e
     while True:
         # edges from decided nodes: a leader settles its later neighbours, a duplicate drops out
-        marked = _with_status(live, fresh)
+        open_edges = live.join(fresh.select(F.col("node").alias("dst")), "dst", "left_anti")
+        marked = _with_status(open_edges, fresh)
         settled = (marked.where(F.col("is_leader")).select(F.col("dst").alias("node")).distinct()
                    .withColumn("is_leader", F.lit(False)))
         rest = (marked.where(F.col("is_leader").isNull()).select("src", "dst")
@@ -207,20 +218,46 @@ def leader_status(edges: DataFrame, src: str = "src", dst: str = "dst",
                  .withColumn("is_leader", F.lit(True)))
         step = reliable_checkpoint(settled.unionByName(freed))
         rest = reliable_checkpoint(rest.select("src", "dst"))
-        if live is not e:
-            release(live)
+        release(live)
         live = rest
-        runs = reliable_checkpoint(_run_statuses(live, step))
-        more = reliable_checkpoint(runs.join(step.select("node"), "node", "left_anti"))
-        fresh = step.unionByName(more)
-        decided += [step, more]
+        decided.append(step)
         left = live.count()
         if left == 0:
             break
+        last = _prefix_end(live, left, batch_edges)
+        # duplicates just found decide nothing; other nodes without an earlier neighbour left are leaders
+        duplicates = step.where(~F.col("is_leader")).select(F.col("node").alias("src"))
+        inner = live.where(F.col("dst") <= last).join(duplicates, "src", "left_anti")
+        batch = reliable_checkpoint(_local(inner, _greedy_leaders, "boolean")
+                                    .join(step.select("node"), "node", "left_anti"))
+        fresh = step.unionByName(batch)
+        decided.append(batch)
+        behind = live.where(F.col("dst") > last)
+        if not behind.isEmpty():
+            runs = reliable_checkpoint(_run_statuses(behind, fresh))
+            fresh = fresh.unionByName(runs)
+            decided.append(runs)
     out = decided[0]
     for d in decided[1:]:
         out = out.unionByName(d)
-    return reliable_checkpoint(out)
+    found = reliable_checkpoint(numbers.join(out, "node").select(F.col("name").alias("node"), "is_leader"))
+    for d in [*decided, numbers, live]:
+        release(d)
+    return found
+
+
+def _prefix_end(edges: DataFrame, n: int, room: int) -> int:
+    """A node number such that at most ``room`` of the ``n`` edges end at it or before, near to the largest such one.
+
+    A quantile is enough, checked by a count; -1 if the first node alone has more edges."""
+    share = room / n
+    while share * n >= 1:
+        quantile = F.percentile_approx("dst", min(share, 1.0), int(max(10_000, 10 / share)))
+        end = edges.agg(quantile).first()[0]
+        if edges.where(F.col("dst") <= end).count() <= room:
+            return end
+        share /= 2
+    return -1
 
 
 def _with_status(edges: DataFrame, status: DataFrame) -> DataFrame:

@@ -234,3 +234,31 @@ def test_halo_copies_few_rows(spark):
         assert n <= 1000 * (1 + window / block)
         out = {r.step: r.trailing_loss for r in L.trailing_mean(log, 1, window, block).collect()}
         assert all(out[s] == round(sum(range(max(1, s - window + 1), s + 1)) / min(s, window), 4) for s in range(1, 1001))
+
+
+@pytest.mark.parametrize("kind", ["ladder", "random", "hub"])
+def test_leader_rounds_follow_batches_not_depth(spark, kind, monkeypatch):
+    """Deep graphs of 10,000 nodes are settled in few rounds of bounded batches; one node of more edges than a batch is too."""
+    from corpusmill.operators import graph as G
+
+    n, rng = 10_000, random.Random(3)
+    if kind == "ladder":  # a node depends on the two before it on its rail and rung: 5,000 links deep
+        edges = {(i, i + 2) for i in range(n - 2)} | {(i, i + 1) for i in range(0, n, 2)}
+    elif kind == "random":
+        edges = {tuple(sorted(rng.sample(range(n), 2))) for _ in range(100_000)}
+    else:
+        edges = {(i, 6_000) for i in range(6_000)} | {(i, i + 1) for i in range(6_000, 9_000)}
+    earlier = {}
+    for a, b in edges:
+        earlier.setdefault(b, []).append(a)
+    want = {}
+    for v in sorted({v for e in edges for v in e}):
+        want[v] = not any(want[u] for u in earlier.get(v, ()))
+    rounds = []
+    handed_on = G._with_status
+    monkeypatch.setattr(G, "_with_status", lambda *a: rounds.append(1) or handed_on(*a))
+    named = [(f"f{a:05d}", f"f{b:05d}") for a, b in edges]
+    df = spark.createDataFrame(named, "src string, dst string")
+    found = G.leader_status(df, local_edges=0, batch_edges=5_000).collect()
+    assert len(found) == len(want) and {int(r.node[1:]): r.is_leader for r in found} == want
+    assert len(rounds) <= 6
