@@ -518,6 +518,16 @@ def q_clusters_roundtrip(spark, sf):
     return R.read_clusters(spark, out)
 
 
+def q_clusters_document(spark, sf):
+    """SNK3 -> SRC7: one JSON array of all clusters, names with brackets and quotes in them."""
+    from corpusmill.sources import readers as R
+    from corpusmill.sources import sinks as W
+    out = _io_dir(spark, "document")
+    named = _components(spark, sf).withColumn("node", F.concat(F.lit('f["'), F.col("node"), F.lit('"],\\.py')))
+    W.write_cluster_document(G.cluster_lists(named), out)
+    return R.read_cluster_lists(spark, out, single_document=True).select("cluster_index", F.explode("members").alias("member"))
+
+
 def q_sequences_roundtrip(spark, sf):
     """SNK6 -> SRC6: sequence lines, leading marker dropped on read."""
     from corpusmill.sources import readers as R

@@ -335,6 +335,8 @@ ORACLE_SQL.update({
     "split_roundtrip": _w(FILES, SPLIT) + "SELECT set, repo_name, filename FROM split",
     "tasks_roundtrip": _w(FILES, TASKS) + """SELECT set, groundTruth, md5(leftContext) AS left_md5, md5(rightContext) AS right_md5 FROM tasks""",
     "clusters_roundtrip": _w(TOKS, BAG, PAIRS, COMPONENTS) + "SELECT cluster_id, node AS member FROM comp",
+    "clusters_document": _w(TOKS, BAG, PAIRS, COMPONENTS) + """SELECT dense_rank() OVER (ORDER BY cluster_id) - 1 AS cluster_index,
+        concat('f["', node, '"],\\.py') AS member FROM comp""",
     "sequences_roundtrip": _w(SEQS) + "SELECT md5(data) AS source_md5, CAST(length(data) AS INTEGER) AS source_len FROM stoks",
     "nonblank_lines": """SELECT value FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)
         WHERE regexp_matches(value, '[^$JS]')""",

@@ -139,3 +139,42 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == list(enumerate(want))
     assert "rangepartitioning" not in plan
+
+
+def test_one_json_array_read_in_byte_ranges(spark, tmp_path):
+    """Brackets, quotes and escapes in names, empty clusters and white space, over split borders anywhere; also several files."""
+    import random
+
+    rng = random.Random(4)
+    pool = ["]", "[", '"', "\\", ",", "a", "é", "\n", " ", "]]", '"]', "\\]"]
+    docs = {f"d{k}.json": [["".join(rng.choice(pool) for _ in range(rng.randrange(9))) for _ in range(rng.randrange(5))]
+                           for _ in range(n)] for k, n in enumerate([300, 1, 0, 40])}
+    for k, (name, doc) in enumerate(docs.items()):
+        (tmp_path / name).write_text(json.dumps(doc, indent=[None, 1][k % 2], ensure_ascii=bool(k & 2)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("700", "61", old):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            df = R.read_cluster_document(spark, str(tmp_path))
+            got = {}
+            for r in df.collect():
+                got.setdefault(r.file.rpartition("/")[2], {})[r.cluster_index] = r.members
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert got == {n: dict(enumerate(d)) for n, d in docs.items() if d}
+
+
+@pytest.mark.parametrize("text", ['{"a": [1]}', '[["a"], 3, ["b"]]', '["a"]', '[["a" "b"]]'])
+def test_other_json_is_an_error(spark, tmp_path, text):
+    (tmp_path / "x.json").write_text(text)
+    with pytest.raises(Exception):
+        R.read_cluster_document(spark, str(tmp_path)).collect()
+
+
+def test_cluster_document_roundtrip(spark, scratch):
+    c = spark.createDataFrame([(7, ["a]", 'b"']), (3, ["c"]), (12, ["d", "e", "\\"])], "cluster_id long, members array<string>")
+    for k, part in enumerate([c, c.limit(0)]):
+        out = os.path.join(scratch, f"doc{k}")
+        W.write_cluster_document(part, out)
+        got = {r.cluster_index: r.members for r in R.read_cluster_lists(spark, out, single_document=True).collect()}
+        assert got == ({} if k else {0: ["c"], 1: ["a]", 'b"'], 2: ["d", "e", "\\"]})
