@@ -1,15 +1,21 @@
 """Personal data: fixed patterns, and a character-level BiLSTM-CRF that adds spans.
 
 The tagger is trained in numpy from labelled spans: the base spans of a
-bounded sample of documents, in windows of T characters, with phone numbers
-also written without their international prefix.  Every digit and ``@`` of
+bounded sample of documents, in windows of T characters, and the same spans
+written as the patterns do not take them (``variants``): addresses with blanks
+or a bracketed ``at``, IP parts apart or with bracketed dots, cards with other
+separators or running on into a neighbouring number, phone numbers without
+their international prefix.  Every digit, ``@`` and bracketed ``at`` of
 a text is an anchor; the regions around anchors are cut into overlapping
 windows, decoded by Viterbi, and each character takes the tag of the window
-in whose middle it stands nearest.  An added span must not touch a base span
-and must pass its kind's check (digits, Luhn, parts of an address).
+in whose middle it stands nearest.  An added span is widened to whole runs of
+digits (a card to the longest valid one of neighbouring runs, an address to whole
+names), must not touch a base span or an earlier added one, and must pass its
+kind's check (digits, Luhn, parts of an address).
 
 Defined results: a null or empty text has no spans; texts without anchors
-are not decoded, as no kind can be without one; repeated rows are judged one
+are not decoded, as no kind can be without one; a very long text is decoded in
+batches of windows, a byte kept for each of their characters; repeated rows are judged one
 by one; without any labelled span the tagger adds none; extra columns are ignored.
 """
 
@@ -18,6 +24,8 @@ from __future__ import annotations
 import io
 import re
 import zlib
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +50,16 @@ EMAIL_RIGHT = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-ANCHOR = re.compile("[0-9@]+")
+AT = r"[\[(](?:at|AT)[\])]"
+ANCHOR = re.compile(f"[0-9@]+|{AT}")
+# what an added span must look like
+EMAIL_LIKE = re.compile(rf"[A-Za-z0-9._%+-]+ ?(?:@|{AT}) ?[A-Za-z0-9-]+(?: ?\. ?[A-Za-z0-9-]+)+")
+IP_LIKE = re.compile(r"[0-9]+(?: ?(?:\.|\[\.\]) ?[0-9]+){3}")
+CARD_LIKE = re.compile(r"[0-9]+(?:[ ._/-]{1,2}[0-9]+)*")
+CARD_GAP = re.compile(r"[ ._/-]{1,2}")
+PHONE_LIKE = re.compile(r"\+?[ ().0-9/-]+")
+DIGITS = re.compile("[0-9]+")
+DOMAIN = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-")
 # texts with such a run outside the base spans are no examples of texts without personal data
 DOUBTFUL = re.compile(r"[0-9][ ().0-9-]{7,}[0-9]")
 Span = tuple[int, int, int]  # start, kind, end
@@ -252,8 +269,27 @@ def tag_row(spans: list[Span], start: int) -> np.ndarray:
     return row
 
 
+def variants(kind: int, s: str, n: int) -> list[tuple[int, str, int, int]]:
+    """A base span written as the patterns do not take it, in the n-th way: (sort, text, start, end),
+    the personal data being text[start:end]."""
+    whole = lambda sort, t: (sort, t, 0, len(t))
+    if kind == 0:
+        local, domain = s.split("@")
+        return [whole(10, [f"{local} @ {domain}", f"{local}[at]{domain}", f"{local} (at) {domain}",
+                           f"{local} @ {domain.replace('.', ' . ')}"][n % 4])]
+    if kind == 1:
+        return [whole(11, s.replace(".", [" . ", "[.]", ". "][n % 3]))]
+    if kind == 2:
+        d, sep = digits_of(s), [".", "/", "  ", "_"][n % 4]
+        before, after = f"{100 + 7 * n % 900} ", f" {10 + 3 * n % 90}"
+        return [whole(12, sep.join(d[k:k + 4] for k in range(0, len(d), 4))),
+                (13, s + after, 0, len(s)) if n % 2 else (13, before + s, len(before), len(before) + len(s))]
+    bare = s.split(" ", 1)[-1]
+    return [whole(14, bare.replace(" ", "/") if n % 4 == 3 else bare)] if bare != s else []
+
+
 def examples(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and their tags from base spans: of each kind, of phones without prefix, and of none."""
+    """Windows and their tags: base spans of each kind, their variants, and none."""
     ids: dict[int, list[np.ndarray]] = {}
     tags: dict[int, list[np.ndarray]] = {}
 
@@ -264,15 +300,18 @@ def examples(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 ids[sort].append(encode(text, [a])[0])
                 tags.setdefault(sort, []).append(row)
 
+    seen = [0] * len(KINDS)
     for text in texts:
         spans = base_spans(text)
         for a, kind, b in spans:
             lo, hi = max(0, a - T), min(len(text), b + T)
             near = [(x - lo, k, y - lo) for x, k, y in spans if x >= lo and y <= hi]
             add(kind, text[lo:hi], near)
-            if kind == 3 and " " in text[a:b] and len(near) == 1:
-                bare = text[a:b].split(" ", 1)[1]
-                add(len(KINDS), text[lo:a] + bare + text[b:hi], [(a - lo, 3, a - lo + len(bare))])
+            seen[kind] += 1
+            for sort, form, x, y in variants(kind, text[a:b], seen[kind]) if len(near) == 1 else ():
+                changed = text[lo:a] + form + text[b:hi]
+                if not base_spans(changed):
+                    add(sort, changed, [(a - lo + x, kind, a - lo + y)])
         if not spans and not DOUBTFUL.search(text):
             add(-1, text, [])
     return (np.array([r for k in sorted(ids) for r in ids[k]]).reshape(-1, T),
@@ -281,7 +320,7 @@ def examples(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE_DOCS) -> bytes | None:
     """A tagger fitted in one task on at most ``sample`` documents with anchors; None if they hold no span."""
-    with_anchor = docs.where(F.col(f"`{text_col}`").rlike("[0-9@]"))
+    with_anchor = docs.where(F.col(f"`{text_col}`").rlike(ANCHOR.pattern))
     chosen = (with_anchor.select(F.col(f"`{id_col}`").alias("chosen_id")).where("chosen_id IS NOT NULL")
               .orderBy(F.xxhash64("chosen_id"), "chosen_id").limit(sample))
     rows = (with_anchor.select(F.col(f"`{id_col}`").alias("chosen_id"), F.col(f"`{text_col}`").alias("t"))
@@ -301,15 +340,62 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
 
 def plausible(kind: int, s: str) -> bool:
     """Whether an added span can be of its kind."""
-    digits = len(digits_of(s))
     if kind == 0:
-        local, _, domain = s.partition("@")
-        return bool(local) and "." in domain.strip(".") and " " not in s
+        return bool(EMAIL_LIKE.fullmatch(s))
     if kind == 1:
-        return bool(IP.fullmatch(s)) and small_parts(s)
+        return bool(IP_LIKE.fullmatch(s)) and small_parts(".".join(DIGITS.findall(s)))
+    if kind == 2:
+        return bool(CARD_LIKE.fullmatch(s)) and is_card(s)
+    return 9 <= len(digits_of(s)) <= 15 and any(c in " ().-/" for c in s) and bool(PHONE_LIKE.fullmatch(s))
+
+
+def widened(text: str, kind: int, a: int, b: int) -> tuple[int, int] | None:
+    """The span without white space and stops at its ends, widened to whole runs of digits or letters
+    of names, cards to the longest valid one of runs nearby; None if it cannot be of its kind."""
+    while a < b and text[a].isspace():
+        a += 1
+    while b > a and (text[b - 1].isspace() or text[b - 1] in ".,;:"):
+        b -= 1
+    left, right = (EMAIL_LEFT, DOMAIN) if kind == 0 else ("0123456789", "0123456789")
+    near_a, near_b = max(0, a - T), min(len(text), b + T)  # nothing of any kind has a run as long
+    while near_a < a < b and text[a] in left and text[a - 1] in left:
+        a -= 1
+    while a < b < near_b and text[b - 1] in right and text[b] in right:
+        b += 1
+    if a == b or a == near_a > 0 or b == near_b < len(text):
+        return None
     if kind == 2:
-        return is_card(s) and all(c in " -0123456789" for c in s)
-    return 9 <= digits <= 15 and any(c in " ().-" for c in s) and all(c in "+ ().-0123456789" for c in s)
+        runs = [(near_a + m.start(), near_a + m.end()) for m in DIGITS.finditer(text[near_a:near_b])]
+        ends = [(x, y) for x, _ in runs if x <= a for _, y in runs if y >= b]
+        found = [(x, y) for x, y in ends if CARD_LIKE.fullmatch(text, x, y) and is_card(text[x:y])]
+        return max(found, key=lambda r: (r[1] - r[0], -r[0]), default=None)
+    if kind == 1 and (re.match(r"\.[0-9]", text[b:b + 2]) or re.match(r"[0-9]\.", text[max(0, a - 2):a])):
+        return None  # part of a longer row of numbers
+    return (a, b) if plausible(kind, text[a:b]) else None
+
+
+def reconciled(starts: list[int], tags: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and tags of a text's characters in windows, each from the window whose middle is nearest
+    (of two as near, the earlier one)."""
+    a = np.array(starts)
+    owned = np.minimum(a + T, length)
+    owned[:-1] = np.minimum(owned[:-1], (a[:-1] + a[1:] + T - 1) // 2 + 1)
+    first = np.maximum(a, np.concatenate(([0], (a[:-1] + a[1:] + T - 1) // 2 + 1)))
+    grid = a[:, None] + np.arange(T)
+    mine = (grid >= first[:, None]) & (grid < owned[:, None])
+    return grid[mine], tags[mine]
+
+
+def tagged_runs(positions: np.ndarray, tags: np.ndarray) -> list[Span]:
+    """Runs of one kind, each from its begin tag, or the first inside tag, on."""
+    at, tag = positions[tags > 0], tags[tags > 0]
+    if not len(at):
+        return []
+    kind = (tag - 1) // 2
+    new = np.concatenate(([True], (np.diff(at) > 1) | (np.diff(kind) != 0) | (tag[1:] % 2 == 1)))
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at)) - 1
+    return list(zip(at[first].tolist(), kind[first].tolist(), (at[last] + 1).tolist()))
 
 
 def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger | None) -> list[list[Span]]:
@@ -319,36 +405,26 @@ def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger | None)
         return out
     starts = [windows(t) for t in texts]
     where = [(k, a) for k, s in enumerate(starts) for a in s]
-    ids = [encode(t, s) for t, s in zip(texts, starts) if s]
-    if not ids:
-        return out
-    ids = np.concatenate(ids)
-    tags = np.concatenate([tagger.decode(ids[a:a + DECODE_BATCH]) for a in range(0, len(ids), DECODE_BATCH)])
-    # each character takes the tag of the window whose middle is nearest
-    middle = np.abs(np.arange(T) - (T - 1) / 2)
-    best: dict[int, dict[int, tuple[float, int]]] = {}
-    for (k, a), row in zip(where, tags):
-        mine = best.setdefault(k, {})
-        for t in np.arange(min(T, len(texts[k]) - a)).tolist():
-            if a + t not in mine or middle[t] < mine[a + t][0]:
-                mine[a + t] = (float(middle[t]), int(row[t]))
-    for k, chars in best.items():
-        run: list[int] | None = None  # start, kind, end
-        for at in [*sorted(at for at, (_, tag) in chars.items() if tag), len(texts[k]) + 2]:
-            tag = chars[at][1] if at in chars else 0
-            kind = (tag - 1) // 2 if tag else -1
-            if run and at == run[2] and kind == run[1] and tag % 2 == 0:
-                run[2] += 1
+    tags = np.empty((len(where), T), np.int8)
+    for at in range(0, len(where), DECODE_BATCH):
+        part = where[at:at + DECODE_BATCH]
+        tags[at:at + len(part)] = tagger.decode(np.concatenate([encode(texts[k], [a]) for k, a in part]))
+    done = 0
+    for k, s in enumerate(starts):
+        if not s:
+            continue
+        mine, done = tags[done:done + len(s)], done + len(s)
+        begins = [a for a, _, _ in base[k]]
+        reach = list(accumulate((b for _, _, b in base[k]), max))  # the furthest end of the spans so far
+        free = 0
+        for a, kind, b in tagged_runs(*reconciled(s, mine, len(texts[k]))):
+            span = widened(texts[k], kind, a, b)
+            if span is None or span[0] < free:
                 continue
-            if run:
-                a, b = run[0], run[2]
-                while a < b and texts[k][a].isspace():
-                    a += 1
-                while b > a and (texts[k][b - 1].isspace() or texts[k][b - 1] in ".,;:"):
-                    b -= 1
-                if plausible(run[1], texts[k][a:b]) and all(b <= x or y <= a for x, _, y in base[k]):
-                    out[k].append((a, run[1], b))
-            run = [at, kind, at + 1] if tag else None
+            before = bisect_left(begins, span[1])
+            if before == 0 or reach[before - 1] <= span[0]:
+                out[k].append((span[0], kind, span[1]))
+                free = span[1]
     return out
 
 
