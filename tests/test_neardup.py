@@ -260,3 +260,36 @@ def test_parity_bitmaps_bound_the_difference(spark, kt, t, broadcast_bytes):
     assert "bit_count" in shuffled._jdf.queryExecution().optimizedPlan().toString()
     assert {(r.id1, r.id2) for r in shuffled.collect()} == similar
     assert similar and similar <= kept and len(kept) < every.count() / 2
+
+
+@pytest.mark.parametrize("kt,t", [(0.5, 0.5), (0.0, 0.6)])
+def test_pairs_of_blocks_give_all_pairs(spark, monkeypatch, kt, t):
+    """Several blocks give the brute-force pairs, each candidate once, and shuffle no row for a pair."""
+    from corpusmill.operators import blocks as K
+    monkeypatch.setattr(N, "PREFIX_JOIN_BYTES", 0)
+    monkeypatch.setattr(K, "BLOCK_ELEMENTS", 400)
+    docs = random_corpus(23, n_docs=60) | {100 + i: [f"w{i}"] * 25 for i in range(4)}
+    expected = brute_pairs(docs, kt, t)
+    nd = N.near_duplicates(docs_df(spark, docs), key_threshold=kt, threshold=t)
+    assert expected and {(r.id1, r.id2) for r in nd.all_pairs().collect()} == set(expected)
+    cands = N.block_candidates(nd.reps, kt, t)
+    plan = cands._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    found = [frozenset(r) for r in cands.collect()]
+    assert len(found) == len(set(found))
+
+
+def test_tokens_of_one_hash_get_another_seed(spark, monkeypatch):
+    """Two tokens that share a hash under the first seed stay two tokens."""
+    orig = N.token_hash
+    monkeypatch.setattr(N, "token_hash", lambda token, seed: orig(F.substring(token, 1, 1) if seed == 0 else token, seed))
+    docs = {1: [f"t{i}" for i in range(20)], 2: [f"t{i}" for i in range(20, 40)]}
+    assert {r.id: r.k for r in N.signatures(docs_df(spark, docs)).collect()} == {1: 20, 2: 20}
+    assert spark_pairs(spark, docs) == {}
+
+
+def test_rare_and_ranked_tokens_together(spark, monkeypatch):
+    monkeypatch.setattr(N, "RANKED_TOKENS", 5)
+    monkeypatch.setattr(N, "PREFIX_JOIN_BYTES", 0)
+    docs = random_corpus(29, n_docs=50)
+    assert set(spark_pairs(spark, docs)) == set(brute_pairs(docs, 0.5, 0.5))
