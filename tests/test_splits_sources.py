@@ -178,3 +178,14 @@ def test_cluster_document_roundtrip(spark, scratch):
         W.write_cluster_document(part, out)
         got = {r.cluster_index: r.members for r in R.read_cluster_lists(spark, out, single_document=True).collect()}
         assert got == ({} if k else {0: ["c"], 1: ["a]", 'b"'], 2: ["d", "e", "\\"]})
+
+
+def test_token_batches_follow_the_splits(spark, scratch):
+    """More input gives more batch files, so that none grows with it; few splits still give n files."""
+    rows = [(f"f{i}", ["a", str(i)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "filename string, tokens array<string>")
+    for parts, files in ((6, 6), (1, 2)):
+        out = os.path.join(scratch, f"splits_{parts}")
+        W.write_token_docs(df.repartition(parts), out, 2)
+        assert len([f for f in os.listdir(out) if f.endswith(".gz")]) == files
+        assert R.read_token_docs(spark, directory=out).count() == 60
