@@ -13,6 +13,7 @@ fixed amount to the logit, so a task keeps one number pair for each word.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable
 from dataclasses import dataclass
 from operator import eq
@@ -99,7 +100,7 @@ class Model:
 
     def examples(self, texts: list[str | None]) -> list[Example]:
         s = self.s
-        features: dict[str, list[int]] = {}
+        features: dict[str, array] = {}
         data = []
         for t in texts:
             words = words_of(t, s)
@@ -110,22 +111,25 @@ class Model:
                 for w in words[a:b]:
                     f = features.get(w)
                     if f is None:
-                        f = features[w] = word_features(w, s)
+                        f = features[w] = array("i", word_features(w, s))
                     ids += f
                 if s.repeats:
                     ids += [0] * sum(map(eq, words[a:b], words[a + 1:b]))
                 u, c = np.unique(np.array(ids, np.int64), return_counts=True)
-                mine.append((u, c / max(1, len(ids))))
-            data.append(mine)
+                mine.append((u.astype(np.int32), c / max(1, len(ids))))
+            # three arrays a text, not two a segment
+            data.append(Example(np.concatenate([u for u, _ in mine]), np.concatenate([w for _, w in mine]),
+                                np.cumsum([0] + [len(u) for u, _ in mine])))
         # a bucket of fewer texts would only help to learn those by heart
         texts_with = np.zeros(s.buckets, np.int64)
-        for mine in data:
-            texts_with[np.unique(np.concatenate([u for u, _ in mine]))] += 1
+        for x in data:
+            texts_with[np.unique(x.ids)] += 1
         common = texts_with >= s.least_texts
         self.rows[~common] = 0
-        return [Example(np.concatenate([u[common[u]] for u, _ in mine]),
-                        np.concatenate([w[common[u]] for u, w in mine]),
-                        np.cumsum([0] + [int(common[u].sum()) for u, _ in mine])) for mine in data]
+        for i, x in enumerate(data):
+            kept_ids = common[x.ids]
+            data[i] = Example(x.ids[kept_ids], x.shares[kept_ids], np.concatenate(([0], np.cumsum(kept_ids)))[x.bounds])
+        return data
 
     def fit(self, texts: list[str | None], labels: list[int]) -> "Model":
         return self.descend(self.examples(texts), labels)

@@ -334,3 +334,23 @@ def test_learned_conjunction():
     learned = rules.learn(rows)
     wrong = [any(rules.fits(x, r) for x in learned) != bool(r["bad"]) for r in rows]
     assert learned and len(learned[0]) == 2 and np.mean(wrong) < 0.03
+
+
+def test_examples_are_held_in_few_arrays():
+    """Many short segments take the memory of their features, not of two arrays and lists of numbers for each."""
+    import random
+    import tracemalloc
+
+    from corpusmill.llm import subword, toxicity
+
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(1000)) for _ in range(3)]
+    model = subword.Model(toxicity.SETTINGS)
+    tracemalloc.start()
+    try:
+        data = model.examples(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1200 * 3000  # bytes a word
+    assert all(len(x.bounds) == 334 and x.bounds[-1] == len(x.ids) == len(x.shares) for x in data)
