@@ -293,3 +293,17 @@ def test_rare_and_ranked_tokens_together(spark, monkeypatch):
     monkeypatch.setattr(N, "PREFIX_JOIN_BYTES", 0)
     docs = random_corpus(29, n_docs=50)
     assert set(spark_pairs(spark, docs)) == set(brute_pairs(docs, 0.5, 0.5))
+
+
+@pytest.mark.parametrize("kt,t", [(0.5, 0.5), (0.0, 0.6)])
+def test_blocks_hold_whole_bags_and_verify_pairs_in_place(spark, monkeypatch, kt, t):
+    """Pairs of blocks come with exact similarities, counts beyond a byte included, and no bag is shuffled for a candidate."""
+    from corpusmill.operators import blocks as K
+    monkeypatch.setattr(N, "RANKED_TOKENS", 5)
+    monkeypatch.setattr(N, "PREFIX_JOIN_BYTES", 0)
+    monkeypatch.setattr(K, "BLOCK_ELEMENTS", 900)
+    monkeypatch.setattr(N, "verify_pairs", None)
+    docs = random_corpus(31, n_docs=50) | {200 + i: ["a"] * (250 + 10 * i) + ["b", "c"] * 30 for i in range(3)}
+    expected = brute_pairs(docs, kt, t)
+    rows = N.near_duplicates(docs_df(spark, docs), key_threshold=kt, threshold=t).all_pairs().collect()
+    assert (200, 202) in expected and {(r.id1, r.id2): (r.jaccard, r.key_jaccard) for r in rows} == expected
