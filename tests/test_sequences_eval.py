@@ -226,6 +226,18 @@ def test_vocab_lookup_salted_and_repeated(spark, monkeypatch):
     assert pairs.count() == sum(len(set(ts)) for _, ts in docs)
 
 
+def test_tokens_are_encoded_where_they_are(spark):
+    """Rows of one id, null tokens and null arrays are encoded, and no row is made for a token."""
+    from corpusmill.operators import bags as B
+    rows = [(1, ["a", None, "z"]), (1, ["b", "a"]), (2, None), (None, ["b"]), (3, ["é", "b", "b"])]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    vocab = spark.createDataFrame([("b", 10), ("a", 20), ("é", 30)], "token string, token_id long")
+    out = B.vocab_encode(df, vocab)
+    assert {r.id: r.token_ids for r in out.collect()} == {1: [10, 20, -1, 20, -1], 2: [], None: [10], 3: [30, 10, 10]}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "MapInArrow" in plan
+
+
 def test_halo_copies_few_rows(spark):
     rows = [(1, 0, s, s, float(s)) for s in range(1, 1001)]
     log = spark.createDataFrame(rows, "run long, epoch int, step long, epoch_step long, loss double")
