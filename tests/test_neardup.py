@@ -307,3 +307,32 @@ def test_blocks_hold_whole_bags_and_verify_pairs_in_place(spark, monkeypatch, kt
     expected = brute_pairs(docs, kt, t)
     rows = N.near_duplicates(docs_df(spark, docs), key_threshold=kt, threshold=t).all_pairs().collect()
     assert (200, 202) in expected and {(r.id1, r.id2): (r.jaccard, r.key_jaccard) for r in rows} == expected
+
+
+def test_bags_of_blocks_take_three_bytes_a_frequent_token():
+    """A bag goes into a block as steps of token ids and counts, and comes out whole: rare ids, high ranks and large counts too."""
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusmill.operators import blocks as K
+    rng = np.random.default_rng(3)
+    bags = [np.sort(K.HOT_TID + rng.choice(200_000, 300, replace=False)) for _ in range(20)]
+    odd = [np.array([0, 1, 127, 128, K.HOT_TID - 1, K.HOT_TID, K.HOT_TID + 199_999]), np.array([K.HOT_TID - 1]), np.sort(rng.integers(0, K.HOT_TID, 50))]
+    cnts = [np.ones(300, np.int64)] * 20 + [np.array([1, 127, 128, 255, 256, 1 << 40, 7]), np.array([300]), np.full(50, 2)]
+
+    def packed(tids, cnts):
+        lists = lambda values: pa.array([v.tolist() for v in values], pa.list_(pa.int64()))
+        ids = pa.array(range(len(tids)), pa.int64())
+        return K.compact_bags(pa.RecordBatch.from_arrays([ids, ids, lists(tids), lists(cnts)], names=["id", "s", "tids", "cnts"]))
+
+    size = sum(len(v.as_py()) for c in K.PARTS for v in packed(bags, cnts[:20]).column(c))
+    assert size <= 3.2 * 20 * 300
+    rows = packed(bags + odd, cnts)
+    block = K.Block(rows.column("k").to_numpy().astype("<i4").tobytes(), *[b"".join(rows.column(c).to_pylist()) for c in K.PARTS], 0.5, False)
+    assert (block.tids == np.concatenate(bags + odd)).all() and (block.cnts == np.concatenate(cnts)).all()
+
+
+def test_bags_are_written_small(spark):
+    """The bags, the largest of the written tables, are compressed by zstd."""
+    written = [f for f in N.signatures(docs_df(spark, random_corpus(41))).inputFiles() if f.endswith(".parquet")]
+    assert written and all(f.endswith(".zstd.parquet") for f in written)
