@@ -274,3 +274,12 @@ def test_leader_rounds_follow_batches_not_depth(spark, kind, monkeypatch):
     found = G.leader_status(df, local_edges=0, batch_edges=5_000).collect()
     assert len(found) == len(want) and {int(r.node[1:]): r.is_leader for r in found} == want
     assert len(rounds) <= 6
+
+
+def test_both_directions_of_pairs_computed_once(spark):
+    """The pairs are read once for both directions, repeated pairs, null ends and self loops included."""
+    from corpusmill.operators import graph as G
+    rows = [(1, 2), (2, 1), (1, 2), (3, 3), (2, 5), (None, 4), (6, None)]
+    both = G.symmetrise(spark.createDataFrame(rows, "id1 long, id2 long"))
+    assert sorted(map(tuple, both.collect())) == [(1, 2), (2, 1), (2, 5), (5, 2)]
+    assert "Union" not in both._jdf.queryExecution().optimizedPlan().toString()
