@@ -1,5 +1,7 @@
 import itertools
+import os
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -336,3 +338,46 @@ def test_bags_are_written_small(spark):
     """The bags, the largest of the written tables, are compressed by zstd."""
     written = [f for f in N.signatures(docs_df(spark, random_corpus(41))).inputFiles() if f.endswith(".parquet")]
     assert written and all(f.endswith(".zstd.parquet") for f in written)
+
+
+def shuffles_on_disk(spark) -> set[str]:
+    names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",").split(",")
+    return {f.rpartition("/")[2].split("_")[1] for f in names if f.rpartition("/")[2].startswith("shuffle_")}
+
+
+def left_on_disk(spark, before: set[str], seconds: float = 10) -> set[str]:
+    """Shuffles not in ``before`` whose files stay; they are deleted in the background."""
+    until = time.time() + seconds
+    while (left := shuffles_on_disk(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    return left
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    from corpusmill.session import SHUFFLE_CLEANUP, reliable_checkpoint
+    setting, before = spark.conf.get(SHUFFLE_CLEANUP), shuffles_on_disk(spark)
+    counts = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
+    table = reliable_checkpoint(counts.repartitionByRange(4, "k"))
+    assert not left_on_disk(spark, before)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+    assert table.count() == 100 and table.agg(F.sum("count")).first()[0] == 10_000
+    assert sorted(counts.collect()) == sorted(table.collect())  # the same frame again
+
+
+def test_vocabulary_and_blocks_go_when_they_are_used_up(spark, monkeypatch):
+    """What stays on disk are the bags, the copies and the pairs, without a shuffle file of the vocabulary or the blocks."""
+    from corpusmill.session import checkpoint_dir
+    monkeypatch.setattr(N, "PREFIX_JOIN_BYTES", 0)
+    docs = random_corpus(31, n_docs=50)
+    df = docs_df(spark, docs)
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    tables = lambda: {t for t in os.listdir(folder) if t.startswith("table-")}
+    seen = tables()
+    before = shuffles_on_disk(spark)
+    N.token_ranks(df)
+    assert not left_on_disk(spark, before) and tables() == seen
+    nd = N.near_duplicates(df)
+    assert len(tables() - seen) == 3
+    assert {(r.id1, r.id2) for r in nd.all_pairs().collect()} == set(brute_pairs(docs, 0.5, 0.5))
+    nd.close()
+    assert len(tables() - seen) == 1
