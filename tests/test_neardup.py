@@ -381,3 +381,70 @@ def test_vocabulary_and_blocks_go_when_they_are_used_up(spark, monkeypatch):
     assert {(r.id1, r.id2) for r in nd.all_pairs().collect()} == set(brute_pairs(docs, 0.5, 0.5))
     nd.close()
     assert len(tables() - seen) == 1
+
+
+def test_tokens_are_computed_once_for_the_bags(spark, monkeypatch):
+    """Vocabulary and bags come from one pass over the texts, which makes no match object for a token."""
+    from corpusmill.operators.tokenize import tokenize_regex
+    texts = spark.createDataFrame([(i, f"alpha_{i} beta 12ab = {i % 3};\n" * 8) for i in range(30)] + [(30, None), (31, "")], "id long, content string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = tokenize_regex(texts.repartition(3).mapInArrow(counting, "id long, content string")).drop("content")
+    assert "regexp_extract_all" not in df._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(N, "COUNTED_ENTRIES", 40)
+    bags = {r.id: (r.n, r.k) for r in N.signatures(df).collect()}
+    assert bags == {i: (7 * 8, len({f"alpha_{i}", "beta", "12", "ab", "=", str(i % 3), ";"})) for i in range(30)}
+    assert seen.value == 32
+
+
+@pytest.mark.parametrize("kt,t", [(0.5, 0.5), (0.3, 0.8), (0.8, 0.2), (1.0, 1.0), (0.0, 0.6)])
+def test_prefixes_that_share_enough_lose_no_pair(spark, kt, t):
+    """Blocks of every size give the brute-force pairs and similarities from prefixes that share enough elements."""
+    import pyarrow as pa
+
+    from corpusmill.operators import blocks as K
+    rng = random.Random(13)
+    bags = []
+    for _ in range(25):
+        base = [rng.randrange(1, 300) for _ in range(rng.randrange(20, 120))]
+        bags += [Counter(base), Counter(base[:-rng.randrange(1, 12)] + [rng.randrange(300) for _ in range(rng.randrange(30))])]
+    multiset = kt <= 0.0
+    bags.sort(key=lambda b: b.total() if multiset else len(b))
+
+    def block(some):
+        lists = lambda values: pa.array(values, pa.list_(pa.int64()))
+        ids = pa.array(range(len(some)), pa.int64())
+        rows = K.compact_bags(pa.RecordBatch.from_arrays(
+            [ids, ids, lists([sorted(b) for b in some]), lists([[b[x] for x in sorted(b)] for b in some])], names=["id", "s", "tids", "cnts"]))
+        return K.Block(rows.column("k").to_numpy().astype("<i4").tobytes(), *[b"".join(rows.column(c).to_pylist()) for c in K.PARTS],
+                       t if multiset else kt, multiset)
+
+    want = {}
+    for a, b in itertools.combinations(range(len(bags)), 2):
+        met, every = len(bags[a].keys() & bags[b].keys()), len(bags[a].keys() | bags[b].keys())
+        least = (bags[a] & bags[b]).total()
+        if met / every >= kt and least / (bags[a] | bags[b]).total() >= t:
+            want[b, a] = (least / (bags[a] | bags[b]).total(), met / every)
+    for cut in (50, 20, 7):
+        blocks = [(at, block(bags[at:at + cut])) for at in range(0, 50, cut)]
+        got = {}
+        for (i, small), (j, big) in itertools.combinations_with_replacement(blocks, 2):
+            for x, y, sim, key_sim in K.similar_bags(small, big, i == j, kt, t):
+                got |= {(int(a) + j, int(b) + i): (s, k) for a, b, s, k in zip(x, y, sim, key_sim)}
+        assert got == want
+    assert want or kt == 1.0
+
+
+def test_a_block_ends_where_sizes_grow(spark, monkeypatch):
+    """Bags of a block are of similar size, so that its prefixes stay short."""
+    from corpusmill.operators import blocks as K
+    docs = {i: [f"t{i}_{j}" for j in range(20 + 4 * i)] for i in range(20)}
+    reps, _ = N.collapse_copies(N.signatures(docs_df(spark, docs)))
+    rows = K.written_blocks(reps, 0.5, 0.5, K.block_size(10_000)).collect()
+    assert sum(len(r.ids) for r in rows) == 20 and all(r.hi <= r.lo * K.SIZE_RATIO for r in rows)
+    assert K.block_size(10_000) == K.LEAST_ELEMENTS and K.block_size(1 << 40) == K.BLOCK_ELEMENTS
