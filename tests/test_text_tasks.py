@@ -130,15 +130,16 @@ def test_extension_null_line_and_quarantine(spark):
     assert [r.filename for r in bad.collect()] == ["b.py"]
 
 
-def test_code_lexer_equals_its_pattern(spark):
-    """The lexer over whole batches gives the tokens of the pattern: digits before letters, every white space, characters of several bytes."""
+def test_lexers_equal_their_patterns(spark):
+    """The lexers over whole batches give the tokens of their patterns: digits before letters, every white space, characters of several bytes."""
     import random
     rng = random.Random(3)
     signs = ["a", "B", "_", "0", "9", " ", "\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "é", "漢", "😀", "\0", "<", ">", "/", "<s>", "</s>",
              "<decoder-only>", "-"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(25))) for _ in range(3000)] + [None, "", "<s", "> 12ab3c4", "ab12cd 3"]
     df = spark.createDataFrame([(t,) for t in texts], "v string")
-    got = df.select(TOK.regex_tokens("v").alias("a"), F.regexp_extract_all("v", F.lit(TOK.CODE_TOKEN_PATTERN), F.lit(0)).alias("b"))
-    assert "code_tokens" in got._jdf.queryExecution().optimizedPlan().toString()
-    rows = got.collect()
-    assert len(rows) == 3005 and all(r.a == r.b for r in rows)
+    for name, tokens, pattern in (("code_tokens", TOK.regex_tokens("v"), TOK.CODE_TOKEN_PATTERN), ("marked_tokens", SQ.seq_tokens("v"), SQ.SEQ_TOKEN_PATTERN)):
+        got = df.select(tokens.alias("a"), F.regexp_extract_all("v", F.lit(pattern), F.lit(0)).alias("b"))
+        assert name in got._jdf.queryExecution().optimizedPlan().toString()
+        rows = got.collect()
+        assert len(rows) == 3005 and all(r.a == r.b for r in rows)
